@@ -68,7 +68,8 @@ check("S1_read_competitions", read_competitions,
       f"SELECT {quoted(s.COMPETITIONS_SOURCE.names)} FROM b_competitions")
 check("S2_read_matches", read_matches, "SELECT * FROM b_matches WHERE season >= '1996'")
 check("S3_read_events", read_events,
-      "SELECT e.* FROM b_events e JOIN b_matches m ON e.match_id = m.match_id "
+      "SELECT e.* REPLACE (CASE WHEN location NOT IN ('', 'null') THEN location END AS location) "
+      "FROM b_events e JOIN b_matches m ON e.match_id = m.match_id "
       "WHERE m.last_updated >= TIMESTAMP '1998-06-01 00:00:00'")
 check("S4_read_lineups", read_lineups,
       """SELECT p.match_id, p.team, p.player_id, p.player_name, p.player_nickname,

@@ -14,6 +14,7 @@ from matchlake.operators import lineups as lu
 from matchlake.operators.shaping import align
 from matchlake.plans import bronze, gold, silver
 from matchlake.plans.pipeline import run_pipeline
+from matchlake.sources.tables import rebuild
 
 from .bridge import FIRST_LOAD, SECOND_LOAD, Bridge
 from .oracle import quoted
@@ -88,7 +89,7 @@ check("J10_results_to_winners", lambda b: joins.lookup(
         max_competition_stage_ranking AS competition_stage_ranking FROM totals t
         LEFT JOIN finals w ON t.competition_id = w.competition_id AND t.season_id = w.season_id
         AND max_competition_stage_ranking = competition_stage_ranking""")
-check("J11_shootout_patch", lambda b: b.silver_matches.select(
+check("J11_shootout_patch", lambda b: silver.patch_shootouts(silver_base(b), b.events).select(
     "match_id", "winning_team", "winning_team_id", "penalty_shootout", "home_pen_score",
     "away_pen_score"),
     """SELECT match_id, winning_team, winning_team_id, penalty_shootout, home_pen_score,
@@ -103,10 +104,10 @@ check("J12_changed_keys_only", lambda b: history.changed_only(
 
 check("A1_card_maxima", lambda b: lu.card_summary(b.lineups), "SELECT * FROM card_sums")
 check("A2_stint_maxima", lambda b: lu.stint_summary(b.lineups), "SELECT * FROM stint_sums")
-check("A3_conditional_maxima", lambda b: b.durations.drop(
+check("A3_conditional_maxima", lambda b: gold.match_duration_lookup(b.events).drop(
     "total_match_duration_seconds", "game_end"),
     "SELECT * EXCLUDE (total_match_duration_seconds, game_end) FROM durations")
-check("A4_total_seconds", lambda b: b.durations.select("match_id", "total_match_duration_seconds"),
+check("A4_total_seconds", lambda b: gold.match_duration_lookup(b.events).select("match_id", "total_match_duration_seconds"),
       "SELECT match_id, total_match_duration_seconds FROM durations")
 _TALLY = f"{_COMP5}, side, team_id, team"
 check("A5_matches_per_team", lambda b: gold.match_tallies(b.match_grain).select(
@@ -142,8 +143,8 @@ check("A14_duplicate_keys", lambda b: history.duplicate_keys(b.loaded, ["match_i
       "SELECT match_id, count(*) AS versions FROM loaded GROUP BY match_id HAVING count(*) > 1")
 check("A15_shootout_winner_id", shootout_winners,
       "SELECT match_id, shootout_winner, shootout_winner_id FROM so_results")
-check("W1_shortest_nickname", lambda b: b.players, "SELECT * FROM player_lookup")
-check("U1_distinct_teams", lambda b: b.teams, "SELECT * FROM team_lookup")
+check("W1_shortest_nickname", lambda b: gold.player_lookup(b.bronze_lineups), "SELECT * FROM player_lookup")
+check("U1_distinct_teams", lambda b: gold.team_lookup(b.silver_matches), "SELECT * FROM team_lookup")
 check("U2_home_and_away_rows", lambda b: gold.both_sides(
     b.silver_matches, ["competition_id", "season_id", "match_id"]),
     """SELECT competition_id, season_id, match_id, 'home' AS side, home_team_id AS team_id,
@@ -226,17 +227,17 @@ check("E13_shootout_winner", shootout_winners,
       "SELECT match_id, shootout_winner, shootout_winner_id FROM so_results")
 check("E15_clock_label", lambda b: b.events.select(
     "id", clock.clock_label(F.col("minute"), F.col("second")).alias("label")),
-    """SELECT id, lpad(CAST(coalesce(minute, 0) AS VARCHAR),
-            greatest(2, length(CAST(coalesce(minute, 0) AS VARCHAR))), '0')
+    """SELECT id, CASE WHEN minute >= 100 THEN CAST(minute AS VARCHAR)
+            ELSE lpad(CAST(coalesce(minute, 0) AS VARCHAR), 2, '0') END
         || ':' || lpad(CAST(coalesce(second, 0) AS VARCHAR), 2, '0') AS label FROM b_events""")
-check("E16_period_seconds", lambda b: b.durations.select(
+check("E16_period_seconds", lambda b: gold.match_duration_lookup(b.events).select(
     "match_id", *[f"{p}_duration_seconds" for _, p, _ in clock.PERIODS]),
     """SELECT match_id, h1_duration_seconds, h2_duration_seconds, et1_duration_seconds,
         et2_duration_seconds FROM durations""")
-check("E17_period_starts", lambda b: b.durations.select(
+check("E17_period_starts", lambda b: gold.match_duration_lookup(b.events).select(
     "match_id", *[f"{p}_start" for _, p, _ in clock.PERIODS]),
     "SELECT match_id, h1_start, h2_start, et1_start, et2_start FROM durations")
-check("E18_game_end", lambda b: b.durations.select("match_id", "game_end"),
+check("E18_game_end", lambda b: gold.match_duration_lookup(b.events).select("match_id", "game_end"),
       "SELECT match_id, game_end FROM durations")
 
 
@@ -295,7 +296,9 @@ check("E28_flags", late(lambda: [px.flag(F.col(name)).alias(name) for name in _F
 
 
 def passes(b: Bridge) -> DataFrame:
-    return gold.combined_passes(b.combined, b.results, b.players)
+    """Stored lookups are measured, then broadcast if they fit."""
+    small = joins.broadcast_if_small
+    return gold.combined_passes(b.combined, small(b.results), small(b.players))
 
 
 check("E29_part_of_winning_team", lambda b: joins.lookup(
@@ -304,12 +307,12 @@ check("E29_part_of_winning_team", lambda b: joins.lookup(
         "id", px.equal_flag(F.col("team_id"), F.col("winning_team_id")).alias("part_of_winning_team")),
     """SELECT id, CASE WHEN e.team_id = m.winning_team_id THEN 1 ELSE 0 END AS part_of_winning_team
         FROM b_events e LEFT JOIN silver_matches m ON e.match_id = m.match_id""")
-check("E30_stage_reached", lambda b: b.results.select("cst_composite_id", "team_name", "stage_reached"),
+check("E30_stage_reached", lambda b: gold.combined_results(b.match_grain).select("cst_composite_id", "team_name", "stage_reached"),
       "SELECT cst_composite_id, team_name, stage_reached FROM results")
-check("E31_final_rank", lambda b: b.results.select(
+check("E31_final_rank", lambda b: gold.combined_results(b.match_grain).select(
     "cst_composite_id", "team_name", "max_competition_stage_ranking"),
     "SELECT cst_composite_id, team_name, max_competition_stage_ranking FROM results")
-check("E32_wins_and_losses", lambda b: b.results.select("cst_composite_id", "team_name", "wins", "losses"),
+check("E32_wins_and_losses", lambda b: gold.combined_results(b.match_grain).select("cst_composite_id", "team_name", "wins", "losses"),
       "SELECT cst_composite_id, team_name, wins, losses FROM results")
 check("E33_scalar_functions", lambda b: b.events.select(
     "id",
@@ -363,7 +366,8 @@ def bronze_lineups(b: Bridge) -> DataFrame:
 _LINEUP_COLS = quoted([n for n in s.LINEUPS.names if n not in (s.VALID_FROM, s.VALID_TO)])
 _EVENT_COLS = quoted(s.EVENTS_SOURCE.names)
 _FIXED_EVENTS = """* REPLACE (replace(player, 'N''''', 'N''') AS player,
-    replace(pass_recipient, 'N''''', 'N''') AS pass_recipient)"""
+    replace(pass_recipient, 'N''''', 'N''') AS pass_recipient,
+    CASE WHEN location NOT IN ('', 'null') THEN location END AS location)"""
 _CLOSED_AT = "TIMESTAMP '2024-02-29 23:59:59.999'"
 
 check("T1_bronze_competitions", bronze_competitions,
@@ -400,7 +404,8 @@ check("T4_bronze_lineups", bronze_lineups,
         UNION ALL SELECT {_LINEUP_COLS}, TIMESTAMP '2024-02-01 00:00:00',
             CASE WHEN season_id >= 1998 THEN {_CLOSED_AT} END FROM b_lineups""")
 check("T5_silver_matches", silver_base, f"SELECT *, {_OPEN} FROM s_matches")
-check("T6_silver_matches_shootouts", lambda b: b.silver_matches,
+check("T6_silver_matches_shootouts", lambda b: silver.silver_matches(
+    b.bronze_matches, b.bronze_events),
       f"SELECT *, {_OPEN} FROM silver_matches")
 check("T7_silver_competitions", lambda b: silver.snapshot(bronze_competitions(b)),
       f"""WITH held AS (SELECT * REPLACE (match_updated - INTERVAL '1' DAY AS match_updated) FROM b_competitions),
@@ -419,11 +424,11 @@ check("T7_silver_lineups", lambda b: silver.snapshot(bronze_lineups(b)),
             ELSE TIMESTAMP '2024-02-01 00:00:00' END AS data_valid_from_utc,
         CAST(NULL AS TIMESTAMP) AS data_valid_to_utc FROM b_lineups""")
 check("T8_silver_combined", lambda b: b.combined, "SELECT * FROM combined")
-check("T9_player_lookup", lambda b: b.players, "SELECT * FROM player_lookup")
-check("T10_team_lookup", lambda b: b.teams, "SELECT * FROM team_lookup")
-check("T11_match_duration_lookup", lambda b: b.durations, "SELECT * FROM durations")
+check("T9_player_lookup", lambda b: gold.player_lookup(b.bronze_lineups), "SELECT * FROM player_lookup")
+check("T10_team_lookup", lambda b: gold.team_lookup(b.silver_matches), "SELECT * FROM team_lookup")
+check("T11_match_duration_lookup", lambda b: gold.match_duration_lookup(b.events), "SELECT * FROM durations")
 check("T12_combined_player_playtime", playtime, "SELECT * FROM playtime")
-check("T13_combined_results", lambda b: b.results, "SELECT * FROM results")
+check("T13_combined_results", lambda b: gold.combined_results(b.match_grain), "SELECT * FROM results")
 check("T14_combined_matches", lambda b: gold.combined_matches(b.match_grain), "SELECT * FROM match_mart")
 check("T15_combined_passes", passes, "SELECT * FROM passes")
 _EARLIER_MATCH = [n for n in s.MATCHES_SOURCE.names if "360" not in n
@@ -440,20 +445,20 @@ check("T16_earlier_complete", lambda b: silver.earlier_combined(b.competitions,
         LEFT JOIN b_events e ON m.match_id = e.match_id""")
 
 
-def stored_run(b: Bridge) -> tuple[str, str, str]:
-    """Whole run into fresh layers; returns their names."""
+def whole_run(b: Bridge) -> DataFrame:
+    """All layers of all competitions into fresh schemas; the passes mart is read back."""
     layers = tuple(b.scratch_schema() for _ in range(3))
     sources = bronze.Sources(b.competitions, b.matches, b.events, b.lineups)
     run_pipeline(b.spark, sources, FIRST_LOAD, [0, 1, 2, 3, 4, 99], min_season="1900",
                  layers=layers, buckets=4)
-    return layers
+    return b.spark.table(f"{layers[2]}.combined_passes")
 
 
-def stored_mart(name: str):
-    return lambda b: b.spark.table(f"{stored_run(b)[2]}.{name}")
+def select_all(b: Bridge) -> DataFrame:
+    table = f"{b.scratch_schema()}.combined_player_playtime"
+    rebuild(playtime(b), table)
+    return b.spark.table(table)
 
 
-check("T17_select_all_of_mart", stored_mart("combined_player_playtime"), "SELECT * FROM playtime")
-check("D10_whole_run", stored_mart("combined_passes"),
-      "SELECT * REPLACE (replace(player, 'N''''', 'N''') AS player, "
-      "replace(pass_recipient, 'N''''', 'N''') AS pass_recipient) FROM passes")
+check("T17_select_all_of_mart", select_all, "SELECT * FROM playtime")
+check("D10_whole_run", whole_run, f"SELECT {_FIXED_EVENTS} FROM passes")

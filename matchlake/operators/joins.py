@@ -30,12 +30,11 @@ def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str]) ->
     extra = [name for name in details.columns if name not in on]
     matched = details.join(parents, on, "inner").select(*_cols(parents.columns + extra))
     lonely = parents.join(details.select(*on).distinct(), on, "left_anti")
-    types = {f.name: f.dataType for f in details.schema.fields}
-    padded = lonely.select(
-        *_cols(parents.columns),
-        *[F.lit(None).cast(types[name]).alias(name) for name in extra],
+    types = dict(details.dtypes)
+    padded = lonely.selectExpr(
+        *_cols(parents.columns), *[f"CAST(NULL AS {types[name]}) AS `{name}`" for name in extra]
     )
-    return matched.unionByName(padded)
+    return matched.union(padded)
 
 
 def lookup(facts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -69,5 +68,5 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def _cols(names: Sequence[str]):
-    return [F.col(f"`{name}`") for name in names]
+def _cols(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]

@@ -22,25 +22,30 @@ def clean(df: DataFrame, declared: T.StructType, strict: bool = False) -> DataFr
     coerce = c.cleaned_strictly if strict else c.cleaned
     return df.select(*[
         coerce(_col(field.name), field.dataType, wanted[field.name]).alias(field.name)
-        if field.name in wanted else _col(field.name)
+        if field.name in wanted else f"`{field.name}`"
         for field in df.schema.fields
     ])
 
 
 def align(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Exactly the declared columns in order: missing ones NULL, extra ones dropped."""
-    present = set(df.columns)
-    return df.select(*[
-        (_col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in declared.fields
-    ])
+    present = dict(df.dtypes)
+
+    def column(field: T.StructField) -> str:
+        kind = field.dataType.simpleString()
+        if present.get(field.name) == kind:
+            return f"`{field.name}`"
+        source = f"`{field.name}`" if field.name in present else "NULL"
+        return f"CAST({source} AS {kind}) AS `{field.name}`"
+
+    return df.selectExpr(*[column(f) for f in declared.fields])
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating point columns to NULL, as written tables hold no NaN."""
     return df.select(*[
         c.nan_to_null(_col(f.name)).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else _col(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"`{f.name}`"
         for f in df.schema.fields
     ])
 

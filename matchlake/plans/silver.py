@@ -100,7 +100,7 @@ def competition_matches(competitions: DataFrame, matches: DataFrame) -> DataFram
 
 def with_events(match_grain: DataFrame, events: DataFrame) -> DataFrame:
     """Event grain of the combined table: every match, with its events if any."""
-    details = events.select("match_id", *[F.col(f"`{c}`") for c in s.COMBINED_EVENT_COLUMNS])
+    details = events.select("match_id", *[f"`{c}`" for c in s.COMBINED_EVENT_COLUMNS])
     return attach_detail(match_grain, details, s.MATCH_KEY)
 
 
@@ -121,5 +121,5 @@ def earlier_combined(competitions: DataFrame, matches: DataFrame,
     if events is None:
         return result
     fresh = names_without(events.columns, "360", taken=result.columns)
-    details = events.select("match_id", *[F.col(f"`{name}`") for name in fresh])
+    details = events.select("match_id", *[f"`{name}`" for name in fresh])
     return attach_detail(result, details, s.MATCH_KEY)

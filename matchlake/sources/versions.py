@@ -41,7 +41,7 @@ def create_history(spark: SparkSession, table: str, declared: T.StructType, buck
 
 
 def read_history(spark: SparkSession, table: str, declared: T.StructType) -> DataFrame:
-    return spark.table(table).select(*[F.col(f"`{name}`") for name in declared.names])
+    return spark.table(table).select(*_cols(declared.names))
 
 
 def read_loaded_at(spark: SparkSession, table: str, declared: T.StructType,
@@ -105,5 +105,5 @@ def _bucket(column: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{name}`") for name in names]
+def _cols(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
