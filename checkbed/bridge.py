@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake import schemas as s
+from matchlake.operators.joins import strategy_for
 from matchlake.operators.lineups import flatten_lineups
 from matchlake.operators.shaping import align, naive, version_clock
 from matchlake.plans import gold, silver
@@ -205,13 +206,13 @@ class Bridge:
     def silver_matches(self) -> DataFrame:
         return silver.silver_matches(self.bronze_matches, self.bronze_events)
 
-    @cached_property
+    @stored
     def match_grain(self) -> DataFrame:
         return silver.competition_matches(self.competitions, self.silver_matches)
 
-    @cached_property
+    @stored
     def combined(self) -> DataFrame:
-        return silver.with_events(self.match_grain, self.events)
+        return silver.combined(self.match_grain, self.events, strategy_for(self.match_grain))
 
     @stored
     def players(self) -> DataFrame:

@@ -24,8 +24,15 @@ _COMP5 = ", ".join(gold.COMPETITION_COLUMNS)
 
 # --- joins ---------------------------------------------------------------------------
 
-check("J1_competitions_to_matches", lambda b: b.match_grain, "SELECT * FROM match_grain")
-check("J2_to_events", lambda b: b.combined.select(
+
+
+def combine(b: Bridge) -> DataFrame:
+    return silver.combined(b.match_grain, b.events, joins.strategy_for(b.match_grain))
+
+
+check("J1_competitions_to_matches", lambda b: silver.competition_matches(
+    b.competitions, b.silver_matches), "SELECT * FROM match_grain")
+check("J2_to_events", lambda b: combine(b).select(
     "competition_id", "season_id", "match_id", "match_name", "id", "type", "team"),
     "SELECT competition_id, season_id, match_id, match_name, id, type, team FROM combined")
 check("J3_lineups_to_cards", lambda b: joins.lookup(
@@ -423,7 +430,7 @@ check("T7_silver_lineups", lambda b: silver.snapshot(bronze_lineups(b)),
       f"""SELECT {_LINEUP_COLS}, CASE WHEN season_id >= 1998 THEN TIMESTAMP '2024-03-01 00:00:00'
             ELSE TIMESTAMP '2024-02-01 00:00:00' END AS data_valid_from_utc,
         CAST(NULL AS TIMESTAMP) AS data_valid_to_utc FROM b_lineups""")
-check("T8_silver_combined", lambda b: b.combined, "SELECT * FROM combined")
+check("T8_silver_combined", combine, "SELECT * FROM combined")
 check("T9_player_lookup", lambda b: gold.player_lookup(b.bronze_lineups), "SELECT * FROM player_lookup")
 check("T10_team_lookup", lambda b: gold.team_lookup(b.silver_matches), "SELECT * FROM team_lookup")
 check("T11_match_duration_lookup", lambda b: gold.match_duration_lookup(b.events), "SELECT * FROM durations")

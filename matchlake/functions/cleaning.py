@@ -89,6 +89,8 @@ _TOLERANT = {
 
 def cleaned(col: Column, source: T.DataType, target: T.StructField) -> Column:
     """Tolerant coercion of one declared column."""
+    if source == target.dataType and not isinstance(source, (T.StringType, T.DoubleType)):
+        return col
     if isinstance(source, T.StringType):
         col = sentinels_to_null(col)
     if target.metadata.get("json"):

@@ -13,8 +13,13 @@ PERIODS = ((1, "h1", 0), (2, "h2", 45), (3, "et1", 90), (4, "et2", 105))
 
 def clock_label(minute: Column, second: Column) -> Column:
     """Zero padded ``MM:SS``; a missing part prints as 00."""
-    zero = F.lit(0).cast("bigint")
-    return F.format_string("%02d:%02d", F.coalesce(minute, zero), F.coalesce(second, zero))
+    return F.concat(_two_digits(minute), F.lit(":"), _two_digits(second))
+
+
+def _two_digits(number: Column) -> Column:
+    number = F.coalesce(number, F.lit(0))
+    text = number.cast("string")
+    return F.when(number.between(0, 9), F.concat(F.lit("0"), text)).otherwise(text)
 
 
 def period_seconds(minute: Column, second: Column, start_minute: int) -> Column:

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str]) -> DataFrame:
+def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str],
+                  strategy: str | None = None) -> DataFrame:
     """Left join that keeps every parent, for details far larger than the parents.
 
     The matching part is an inner join with the details on the left: parents
@@ -24,11 +25,13 @@ def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str]) ->
     parents without details come from an anti join on the distinct keys, which
     reads only the key columns and combines them before the shuffle.
 
-    Both sides must have distinct column names apart from ``on``.
+    ``strategy`` is a join hint for the parents of the matching part. Both
+    sides must have distinct column names apart from ``on``.
     """
     on = list(on)
     extra = [name for name in details.columns if name not in on]
-    matched = details.join(parents, on, "inner").select(*_cols(parents.columns + extra))
+    build = parents.hint(strategy) if strategy else parents
+    matched = details.join(build, on, "inner").select(*_cols(parents.columns + extra))
     lonely = parents.join(details.select(*on).distinct(), on, "left_anti")
     types = dict(details.dtypes)
     padded = lonely.selectExpr(
@@ -63,6 +66,12 @@ def measured_bytes(df: DataFrame) -> int:
     return row["payload"] or 0
 
 
+def strategy_for(parents: DataFrame, limit: int = BROADCAST_BYTES) -> str:
+    """Join hint for the smaller side of a wide join: broadcast if its measured
+    payload fits, else a shuffled hash join, which spares sorting the wide rows."""
+    return "broadcast" if measured_bytes(parents) <= limit else "shuffle_hash"
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint when the measured payload fits, else leave the join to Spark."""
     return F.broadcast(df) if measured_bytes(df) <= limit else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lineups as lx
@@ -38,37 +38,63 @@ def stint_flags(stints: DataFrame) -> DataFrame:
 
 
 def card_summary(lineups: DataFrame) -> DataFrame:
-    """Largest value of each card column per match and player.
-
-    Players without cards are left out: they would only contribute NULLs.
-    """
+    """Largest value of each card column per match and player with a card."""
     carded = lineups.filter(F.size("cards") > 0)
-    return _max_per_player(card_rows(carded), lx.CARD_COLUMNS)
+    return _max_per_player(carded.select(*LINEUP_KEY, *_row_cards()), lx.CARD_COLUMNS)
 
 
 def stint_summary(lineups: DataFrame) -> DataFrame:
     """Settled playing flags per match and player with a relevant stint."""
-    flags = _max_per_player(stint_flags(stint_rows(lineups)), lx.STINT_COLUMNS)
+    played = lineups.filter(_has_relevant_stint())
+    flags = _max_per_player(played.select(*LINEUP_KEY, *_row_stints()), lx.STINT_COLUMNS)
     return flags.withColumns(lx.settle_stints())
 
 
 def flatten_lineups(lineups: DataFrame) -> DataFrame:
     """Nested lineup rows to scalar columns, one output row per input row.
 
-    Both summaries are combined on each task before they are shuffled, and
-    share the ``(match_id, player_id)`` partitioning with the joins. Players
-    without a relevant stint keep NULL flags.
+    Lists are reduced inside their row and then per match and player, with one
+    aggregation and one join for cards and stints together: a player listed
+    twice in a match gets the summary of both rows. Players without a relevant
+    stint keep NULL flags.
     """
     base = lineups.withColumn("player_nickname", lx.nickname()).drop("cards", "positions")
-    return (
-        base.join(card_summary(lineups), LINEUP_KEY, "left")
-        .join(stint_summary(lineups), LINEUP_KEY, "left")
+    marked = lineups.filter((F.size("cards") > 0) | _has_relevant_stint()).select(
+        *LINEUP_KEY, *_row_cards(), *_row_stints(), _has_relevant_stint().alias("_played")
+    )
+    columns = [*lx.CARD_COLUMNS, *lx.STINT_COLUMNS, "_played"]
+    summary = _max_per_player(marked, columns)
+    settled = {name: F.when(F.col("_played"), col) for name, col in lx.settle_stints().items()}
+    return base.join(summary.withColumns(settled).drop("_played"), LINEUP_KEY, "left")
+
+
+def _row_cards() -> list[Column]:
+    return _row_maxima("cards", lx.card_fields)
+
+
+def _row_stints() -> list[Column]:
+    return _row_maxima("positions", lx.stint_fields)
+
+
+def _row_maxima(column: str, fields) -> list[Column]:
+    """Largest value of each derived field over the elements of one list."""
+    def largest(name: str) -> Column:
+        return F.array_max(F.transform(column, lambda element: fields(element)[name]))
+
+    names = lx.CARD_COLUMNS if column == "cards" else lx.STINT_COLUMNS
+    return [largest(name).alias(name) for name in names]
+
+
+def _has_relevant_stint() -> Column:
+    relevant = F.exists(
+        "positions", lambda stint: lx.is_relevant(stint["start_reason"], stint["end_reason"])
     )
+    return F.coalesce(relevant, F.lit(False))
 
 
 def _max_per_player(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.groupBy(*LINEUP_KEY).agg(*[F.max(name).alias(name) for name in columns])
 
 
-def _named(columns: dict) -> list:
+def _named(columns: dict) -> list[Column]:
     return [col.alias(name) for name, col in columns.items()]

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import BROADCAST_BYTES, broadcast_if_small
+from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
 from ..sources.tables import create_layer, rebuild, rebuild_view
 from . import gold, silver
@@ -17,8 +17,12 @@ SILVER_SNAPSHOTS = ("competitions", "events", "lineups")
 
 
 def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer: str = "silver",
-               views: Collection[str] = ()) -> None:
-    """Rebuild silver. Snapshots named in ``views`` become views instead of copies."""
+               views: Collection[str] = (), broadcast_bytes: int = BROADCAST_BYTES) -> None:
+    """Rebuild silver. Snapshots named in ``views`` become views instead of copies.
+
+    The match grain (``competition_matches``) is stored once: the event-grain
+    table and the match-grain marts all start from it.
+    """
     create_layer(spark, silver_layer)
 
     def bronze(name: str) -> DataFrame:
@@ -36,7 +40,10 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
     rebuild(silver.silver_matches(bronze("matches"), bronze("events")), f"{silver_layer}.matches")
 
     read = _reader(spark, silver_layer)
-    rebuild(silver.combined(read("competitions"), read("matches"), read("events")),
+    rebuild(silver.competition_matches(read("competitions"), read("matches")),
+            f"{silver_layer}.competition_matches")
+    grain = read("competition_matches")
+    rebuild(silver.combined(grain, read("events"), strategy_for(grain, broadcast_bytes)),
             f"{silver_layer}.combined")
 
 
@@ -44,8 +51,8 @@ def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str
              broadcast_bytes: int = BROADCAST_BYTES) -> None:
     """Rebuild the seven marts in dependency order.
 
-    Match-grain marts read competitions and matches rather than the event-grain
-    table. The stored lookups are measured before they are broadcast.
+    Match-grain marts read the match grain rather than the event-grain table. The
+    stored lookups are measured before they are broadcast.
     """
     create_layer(spark, gold_layer)
     slv, gld = _reader(spark, silver_layer), _reader(spark, gold_layer)
@@ -56,7 +63,7 @@ def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str
     def build(name: str, df: DataFrame) -> None:
         rebuild(df, f"{gold_layer}.{name}")
 
-    match_grain = silver.competition_matches(slv("competitions"), slv("matches"))
+    match_grain = slv("competition_matches")
     build("player_lookup", gold.player_lookup(slv("lineups")))
     build("team_lookup", gold.team_lookup(slv("matches")))
     build("match_duration_lookup", gold.match_duration_lookup(slv("events")))
@@ -70,7 +77,8 @@ def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str
 
 def run_pipeline(spark: SparkSession, sources: Sources, now: datetime,
                  competitions: Iterable[int] | None = None, season: int | None = None,
-                 min_season: str | None = None, layers: tuple[str, str, str] = ("bronze", "silver", "gold"),
+                 min_season: str | None = None,
+                 layers: tuple[str, str, str] = ("bronze", "silver", "gold"),
                  buckets: int = 64) -> None:
     """Bronze load of all listed competitions in one pass, then silver, then gold."""
     run_bronze(spark, sources, now, layers[0], competitions, season, min_season, buckets)

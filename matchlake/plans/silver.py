@@ -98,14 +98,13 @@ def competition_matches(competitions: DataFrame, matches: DataFrame) -> DataFram
     return attach_detail(parents, matches.select(*keys, *s.COMBINED_MATCH_COLUMNS), keys)
 
 
-def with_events(match_grain: DataFrame, events: DataFrame) -> DataFrame:
-    """Event grain of the combined table: every match, with its events if any."""
-    details = events.select("match_id", *[f"`{c}`" for c in s.COMBINED_EVENT_COLUMNS])
-    return attach_detail(match_grain, details, s.MATCH_KEY)
-
+def combined(match_grain: DataFrame, events: DataFrame, strategy: str | None = None) -> DataFrame:
+    """Event grain of the combined table: every match, with its events if any.
 
-def combined(competitions: DataFrame, matches: DataFrame, events: DataFrame) -> DataFrame:
-    return with_events(competition_matches(competitions, matches), events)
+    ``strategy`` is the join hint for the match grain (see ``strategy_for``).
+    """
+    details = events.select("match_id", *[f"`{c}`" for c in s.COMBINED_EVENT_COLUMNS])
+    return attach_detail(match_grain, details, s.MATCH_KEY, strategy)
 
 
 def earlier_combined(competitions: DataFrame, matches: DataFrame,
