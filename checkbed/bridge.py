@@ -74,6 +74,12 @@ class Bridge:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def spread(self, name: str) -> DataFrame:
+        """Table whose rows reach all cores: a folder with fewer files than cores
+        (one row group each at test size) is repartitioned, a large one is not."""
+        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
     def scratch_schema(self) -> str:
         """A fresh schema in the shared scratch folder."""
         path = scratch_path(self.spark, "check")
@@ -114,7 +120,7 @@ class Bridge:
         region = self.table("region").select(
             F.col("r_regionkey").cast("bigint").alias("r_key"), "r_name"
         )
-        placed = orders.join(F.broadcast(top.select("o_orderkey", "place")), "o_orderkey", "left")
+        placed = self.spread("orders").join(F.broadcast(top.select("o_orderkey", "place")), "o_orderkey", "left")
         placed = placed.withColumn("r_key", F.expr(c.COMPETITION_OF_ORDER)).join(region, "r_key")
         full = self._with_teams(placed, c.HOME_OF_ORDER, c.AWAY_OF_ORDER)
         return align(full.selectExpr(*exprs(c.MATCH)), s.MATCHES_SOURCE)
@@ -133,8 +139,8 @@ class Bridge:
     @stored
     def events(self) -> DataFrame:
         """Source events: line events and half ends."""
-        lines = self._with_teams(self.table("lineitem"), c.HOME_OF_LINE, c.AWAY_OF_LINE)
-        halves = self.table("orders").withColumn(
+        lines = self._with_teams(self.spread("lineitem"), c.HOME_OF_LINE, c.AWAY_OF_LINE)
+        halves = self.spread("orders").withColumn(
             "p", F.explode(F.sequence(F.lit(1), F.expr(f"CASE WHEN {c.EXTRA_TIME} THEN 4 ELSE 2 END")))
         )
         halves = self._with_teams(halves, c.HOME_OF_ORDER, c.AWAY_OF_ORDER)
@@ -145,7 +151,7 @@ class Bridge:
     @cached_property
     def stint_kinds(self) -> DataFrame:
         """Lines reduced to at most 80 stint kinds per match and player."""
-        keyed = self.table("lineitem").selectExpr(
+        keyed = self.spread("lineitem").selectExpr(
             *exprs(c.STINT_KEYS), "l_suppkey", "l_partkey", "l_quantity"
         )
         return keyed.groupBy(*c.STINT_KEYS).agg(*map(F.expr, exprs(c.STINT_VALUES)))

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from matchlake.session import tune
+
 from .bridge import Bridge
 from .oracle import oracle
 
@@ -19,6 +21,7 @@ def check(name: str, build: Callable[[Bridge], DataFrame], sql: str) -> None:
         raise ValueError(f"query {name} is registered twice")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
         return build(Bridge(spark, sf_dir))
 
     QUERIES[name] = run

@@ -13,6 +13,7 @@ from ..operators import filters
 from ..operators.history import changed_only, newer_rows
 from ..operators.lineups import flatten_lineups
 from ..operators.shaping import align, clean, repair_names
+from ..session import tune
 from ..sources.tables import create_layer
 from ..sources.versions import load_versions, read_history, read_loaded_at
 
@@ -68,6 +69,7 @@ def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str
     that mark, so a load that stopped half way can be repeated with the same
     ``now`` and carries on with the children of everything it had loaded.
     """
+    tune(spark)
     create_layer(spark, layer)
 
     def stored(name: str, declared) -> DataFrame | None:

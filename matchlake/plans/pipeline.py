@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
+from ..session import tune
 from ..sources.tables import create_layer, rebuild, rebuild_view
+from ..sources.versions import BUCKET
 from . import gold, silver
 from .bronze import Sources, run_bronze
 
@@ -23,11 +25,11 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
     The match grain (``competition_matches``) is stored once: the event-grain
     table and the match-grain marts all start from it.
     """
+    tune(spark)
     create_layer(spark, silver_layer)
 
     def bronze(name: str) -> DataFrame:
-        df = spark.table(f"{bronze_layer}.{name}")
-        return df.drop("key_bucket")
+        return spark.table(f"{bronze_layer}.{name}").drop(BUCKET)
 
     for name in SILVER_SNAPSHOTS:
         target = f"{silver_layer}.{name}"
@@ -54,6 +56,7 @@ def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str
     Match-grain marts read the match grain rather than the event-grain table. The
     stored lookups are measured before they are broadcast.
     """
+    tune(spark)
     create_layer(spark, gold_layer)
     slv, gld = _reader(spark, silver_layer), _reader(spark, gold_layer)
 

@@ -7,15 +7,26 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Naive source times are compared as UTC; AQE sizes shuffles, turns joins with a
-# small measured side into broadcasts and splits skewed partitions.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# AQE sizes shuffles, turns joins with a small measured side into broadcasts and
+# splits skewed partitions. The event tables are wider than the 100 columns up
+# to which Spark generates code and reads Parquet in batches by default; plans
+# whose generated method the JIT would refuse fall back to smaller ones.
+TUNING = {
+    "spark.sql.codegen.maxFields": "500",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
+# naive source times are compared as UTC
+SETTINGS = {"spark.sql.session.timeZone": "UTC", **TUNING}
+
+
+def tune(spark: SparkSession) -> None:
+    """Apply the performance settings to a session built elsewhere."""
+    for key, value in TUNING.items():
+        spark.conf.set(key, value)
 
 
 def build_session(app: str = "matchlake", **settings: str) -> SparkSession:
