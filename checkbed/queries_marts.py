@@ -11,7 +11,6 @@ from matchlake.functions import matches as mx
 from matchlake.functions import passes as px
 from matchlake.operators import history, joins
 from matchlake.operators import lineups as lu
-from matchlake.operators.shaping import align
 from matchlake.plans import bronze, gold, silver
 from matchlake.plans.pipeline import run_pipeline
 from matchlake.sources.tables import rebuild

@@ -73,9 +73,8 @@ def upsert_versions(history: DataFrame | None, incoming: DataFrame, keys: Sequen
     batch is reduced to its latest row.
     """
     valid_from, valid_to = version_clock(now)
-    if newest:
-        incoming = latest_per_key(incoming, keys, newest)
-    fresh = stamp_versions(incoming, valid_from)
+    latest = latest_per_key(incoming, keys, newest) if newest else incoming
+    fresh = stamp_versions(latest, valid_from)
     if history is None:
         return fresh
     closed = close_versions(history, incoming, keys, valid_to, restamp)

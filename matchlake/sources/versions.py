@@ -62,20 +62,20 @@ def load_versions(spark: SparkSession, table: str, incoming: DataFrame, declared
     """Close the open versions of the incoming keys and add the new ones."""
     create_history(spark, table, declared, buckets)
     valid_from, valid_to = version_clock(now)
-    if newest:
-        incoming = latest_per_key(incoming, keys, newest)
+    latest = latest_per_key(incoming, keys, newest) if newest else incoming
     bucket = _bucket(bucket_by, bucket_count(spark, table))
-    fresh = align(stamp_versions(incoming, valid_from), declared).withColumn(BUCKET, bucket)
+    fresh = align(stamp_versions(latest, valid_from), declared).withColumn(BUCKET, bucket)
+    delivered = align(incoming, declared)
 
     # at most one small integer per bucket; literals make the pruning static
-    touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
+    touched = [row[0] for row in delivered.select(bucket.alias(BUCKET)).distinct().collect()]
     if not touched:
         return
     # rows this load closed in an earlier attempt stay in its partition
     stored = spark.table(table).filter(
         F.col(BUCKET).isin(*touched) & (is_current() | (F.col(VALID_TO) == naive(valid_to)))
     )
-    hits = fresh.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    hits = delivered.select(*keys).distinct().withColumn("_hit", F.lit(True))
     marked = stored.join(hits, list(keys), "left")
     replaced = F.col("_hit") & is_current()
     again = replaced & (F.col(VALID_FROM) == naive(valid_from))
