@@ -5,8 +5,8 @@
     by how many sets may hold them, rarest first, so that passages shared by many documents come last.
     The order rests on a table of ``SKETCH`` counters; any order gives the same links.
 3.  The sets of an index list whose sizes may link hang under the smallest of them (their hub), so any two sets that
-    share a list meet in the group of one hub. Groups go to tasks; one beyond ``block`` elements is cut
-    into blocks that meet in pairs.
+    share a list meet in the group of one hub. Members whose parity sketch rules out all others of the group go; the sets of the
+    rest go to one task for each group. A group beyond ``block`` elements is cut into blocks that meet in pairs.
 4.  In a task, index lists are kept in blocks of equal set size and equal position; one bound per block skips
     all of its sets at once. A set's overlaps with all others are derived from those of a highly similar set that
     was answered before: only the lists of the elements in which the two differ are read. Sets that are already connected
@@ -31,9 +31,11 @@ from .components import components
 from .packed import SPACES, keys, mix, slices, words
 from .scratch import stored
 
-SKETCH = 1 << 20
-SKETCH_SHIFT = np.uint64(64 - 20)
+SKETCH = 1 << 22
+SKETCH_SHIFT = np.uint64(64 - 22)
 SKETCH_SLICES = 64
+#: bits of the parity sketch of a set: those of two sets differ in no more bits than the sets in elements
+PARITY_BITS = 2048
 
 
 def ngram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -59,15 +61,21 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def parity_sketch(s: np.ndarray) -> bytes:
+    """Each element turns one bit."""
+    place = (s & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def element_counts(documents: DataFrame, n: int, batch_bytes: int) -> np.ndarray:
     """How many texts hold the elements of each of ``SKETCH`` classes; the table has a fixed size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(SKETCH, np.int32)
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
                 sets = list(ngram_sets(part.column("text"), n))
-                total += np.bincount((np.concatenate(sets) >> SKETCH_SHIFT).astype(np.int64), minlength=SKETCH)
+                total += np.bincount((np.concatenate(sets) >> SKETCH_SHIFT).astype(np.int64), minlength=SKETCH).astype(np.int32)
         pieces = np.array_split(total, SKETCH_SLICES)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(SKETCH_SLICES)), pa.array([p.tobytes() for p in pieces])], ["slice", "counts"])
@@ -76,7 +84,7 @@ def element_counts(documents: DataFrame, n: int, batch_bytes: int) -> np.ndarray
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, np.int64)
+                total[k] = total.get(k, 0) + np.frombuffer(raw, np.int32)
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total)), pa.array([v.tobytes() for v in total.values()])], ["slice", "counts"])
@@ -84,22 +92,23 @@ def element_counts(documents: DataFrame, n: int, batch_bytes: int) -> np.ndarray
     kind = "slice long, counts binary"
     rows = documents.select("text").mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect()
     rows.sort(key=lambda r: r["slice"])
-    return np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]) if rows else np.zeros(SKETCH, np.int64)
+    return np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows]) if rows else np.zeros(SKETCH, np.int32)
 
 
 def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> DataFrame:
-    """doc_id, size, d1 and d2 (a 128-bit digest of the set), prefix: one row per row of (doc_id, text)."""
+    """doc_id, size, d1 and d2 (a 128-bit digest of the set), parity, prefix: one row per row of (doc_id, text)."""
     counts = documents.sparkSession.sparkContext.broadcast(element_counts(documents, n, batch_bytes))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = counts.value
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
-                sizes, first, second, prefixes = [], [], [], []
+                sizes, first, second, parity, prefixes = [], [], [], [], []
                 for s in ngram_sets(part.column("text"), n):
                     sizes.append(len(s))
                     first.append(int(mix(s + np.uint64(0x1F)).sum(dtype=np.uint64)))
                     second.append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)))
+                    parity.append(parity_sketch(s))
                     p = prefix_length(len(s), percent) if len(s) else 0
                     ranked = np.lexsort((s, order[(s >> SKETCH_SHIFT).astype(np.int64)]))[:p]
                     prefixes.append(s[ranked].view(np.int64))
@@ -107,11 +116,48 @@ def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> D
                 flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
                 digest = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int64()), digest(first), digest(second),
-                     pa.ListArray.from_arrays(stops, pa.array(flat))], ["doc_id", "size", "d1", "d2", "prefix"])
+                    [part.column("doc_id"), pa.array(sizes, pa.int64()), digest(first), digest(second), pa.array(parity, pa.binary()),
+                     pa.ListArray.from_arrays(stops, pa.array(flat))], ["doc_id", "size", "d1", "d2", "parity", "prefix"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(build, "doc_id long, size long, d1 long, d2 long, prefix array<long>"), "sets")
+    return stored(rows.mapInArrow(build, "doc_id long, size long, d1 long, d2 long, parity binary, prefix array<long>"), "sets")
+
+
+def may_link(group: pa.Table, percent: int) -> np.ndarray:
+    """Which sets of a block pair may be linked with another of it, by size and parity sketch."""
+    size = group.column("size").to_numpy()
+    bits = np.frombuffer(b"".join(group.column("parity").to_pylist()), np.uint64).reshape(len(size), -1)
+    node = group.column("node").to_numpy()
+    out = np.zeros(len(size), dtype=bool)
+    for k in range(0, len(size), 32):
+        differ = np.bitwise_count(bits[k:k + 32, None] ^ bits[None]).sum(axis=2, dtype=np.int64)
+        both = size[k:k + 32, None] + size[None]
+        # overlap o is at most (both - differ) / 2 and links when 100 o >= percent (both - o)
+        good = (100 + percent) * (both - differ) >= 2 * percent * both
+        good &= node[k:k + 32, None] != node[None]
+        out[k:k + 32] = good.any(axis=1)
+    return out
+
+
+def in_blocks(members: DataFrame, weight, block: int) -> DataFrame:
+    """members with side, left and right: groups beyond ``block`` are cut into blocks that meet in pairs (left, right)."""
+    groups = members.groupBy("hub").agg(F.ceil(F.sum(weight) / F.lit(block)).cast("int").alias("blocks"))
+    dealt = members.join(groups, "hub").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return dealt.select(*members.columns, "side", other).select(
+        *members.columns, "side", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"))
+
+
+def plausible_members(sets: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
+    """The members that may be linked within the group of their hub; only their sets are moved."""
+    sketches = sets.filter("size > 0").select(F.col("doc_id").alias("node"), "size", "parity").dropDuplicates(["node", "size", "parity"])
+    dealt = in_blocks(stored(members.select("hub", "node").distinct(), "members"), F.lit(1), block)
+
+    def keep(group: pa.Table) -> pa.Table:
+        return group.select(["hub", "node", "size"]).filter(pa.array(may_link(group, percent)))
+
+    found = sketches.join(dealt, "node").groupBy("hub", "left", "right").applyInArrow(keep, "hub long, node long, size long")
+    return found.groupBy("hub", "node").agg(F.max("size").alias("size"))
 
 
 def hub_members(sets: DataFrame, percent: int) -> DataFrame:
@@ -277,13 +323,7 @@ def _linker(percent: int):
 
 def link_edges(documents: DataFrame, members: DataFrame, n: int, percent: int, block: int, batch_bytes: int) -> DataFrame:
     """Edges (a, b) between nodes that connect all linked sets."""
-    members = stored(members, "members")
-    cut = F.ceil(F.sum("size") / F.lit(block)).cast("int")
-    groups = members.groupBy("hub").agg(cut.alias("blocks"))
-    dealt = members.join(groups, "hub").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("hub", "node", "side", other).select(
-        "hub", "node", "side", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"))
+    dealt = in_blocks(stored(members, "plausible"), F.col("size"), block).drop("size")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +346,8 @@ def ngram_classes(documents: DataFrame, n: int = 5, percent: int = 80, block: in
     Two documents link when 100 * intersection >= percent * union of their sets of word n-grams.
     """
     sets = set_table(documents, n, percent, batch_bytes)
-    edges = link_edges(documents, hub_members(sets, percent), n, percent, block, batch_bytes)
+    members = plausible_members(sets, hub_members(sets, percent), percent, max(2, block // 500))
+    edges = link_edges(documents, members, n, percent, block, batch_bytes)
     labels = components(edges)
     same_set = sets.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
     named = same_set.join(labels, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
