@@ -97,7 +97,7 @@ def hits(texts: pa.Array, found: WindowSet) -> Iterator[tuple[int, int, int, str
 HIT = {"hit#n_words": "long", "hit#words": "array<int>", "hit#spans": "array<struct<first:int,stop:int>>", "hit#items": "array<string>"}
 
 
-def marked(documents: DataFrame, benchmark: DataFrame, width: int = 10, block: int = 1_000_000,
+def marked(documents: DataFrame, benchmark: DataFrame, width: int = 10, block: int = 200_000,
            batch_bytes: int = 8 << 20) -> DataFrame:
     """The columns of the documents and those of ``HIT``: number of words, words that are hit, their byte ranges, sorted item ids."""
     spark = documents.sparkSession
@@ -161,14 +161,14 @@ def _scan_batch(part: pa.RecordBatch, found: WindowSet) -> pa.RecordBatch:
         [*given, *HIT])
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, width: int = 10, block: int = 1_000_000) -> DataFrame:
+def scan(documents: DataFrame, benchmark: DataFrame, width: int = 10, block: int = 200_000) -> DataFrame:
     """doc_id, n_words, n_hit, spans (first byte, byte after the last), items (sorted ids): one row per row of (doc_id, text)."""
     found = marked(documents.select("doc_id", "text"), benchmark, width, block)
     return found.select("doc_id", F.col("`hit#n_words`").alias("n_words"), F.size("`hit#words`").alias("n_hit"),
                         F.col("`hit#spans`").alias("spans"), F.col("`hit#items`").alias("items"))
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, width: int = 10, spans: bool = False, block: int = 1_000_000) -> DataFrame:
+def clean(documents: DataFrame, benchmark: DataFrame, width: int = 10, spans: bool = False, block: int = 200_000) -> DataFrame:
     """Documents without contamination: hit documents go, or with ``spans`` only the words that were hit.
 
     Documents keep all their columns; the text is the only one that changes.
