@@ -354,8 +354,8 @@ def newer(b: Bridge) -> DataFrame:
 def versioned_table(b: Bridge) -> str:
     """History table with the first load stored."""
     table = f"{b.scratch_schema()}.changes"
-    versions.load_versions(b.spark, table, b.first_batch, _CHANGES, ["match_id"], "match_id",
-                           FIRST_LOAD, "last_updated", buckets=8)
+    versions.load_versions(b.spark, table, b.first_batch, _CHANGES, ["match_id"], _SCOPE,
+                           FIRST_LOAD, "last_updated")
     return table
 
 
@@ -375,10 +375,41 @@ def stored_upsert(b: Bridge) -> DataFrame:
     history.newer_rows(b.second_batch, stored, "last_updated", _SCOPE).write.parquet(batch)
     for _ in range(2):
         versions.load_versions(b.spark, table, b.spark.read.parquet(batch), _CHANGES, ["match_id"],
-                               "match_id", SECOND_LOAD, "last_updated", buckets=8)
+                               _SCOPE, SECOND_LOAD, "last_updated")
     return versions.read_history(b.spark, table, _CHANGES)
 
 
+def stored_null_keys(b: Bridge) -> DataFrame:
+    """Two loads whose key column is NULL in a tenth of the rows, the second sent three times."""
+    table = f"{b.scratch_schema()}.changes"
+    key = ["match_id", "status"]
+    nulled = b.first_batch.withColumn("status", F.expr("if(match_id % 10 = 0, NULL, status)"))
+    versions.load_versions(b.spark, table, nulled, _CHANGES, key, _SCOPE, FIRST_LOAD)
+    for _ in range(3):
+        versions.load_versions(b.spark, table, nulled.filter("match_id % 5 = 0"), _CHANGES, key, _SCOPE, SECOND_LOAD)
+    return versions.read_history(b.spark, table, _CHANGES)
+
+
+def stored_after_half_commit(b: Bridge) -> DataFrame:
+    """A second load that stops before its commit, is read over, and is then run again."""
+    table = versioned_table(b)
+    batch = b.first_batch.filter("match_id % 5 = 0").withColumn("status", F.lit("U"))
+    commit = versions.commit
+
+    def stop(*_) -> None:
+        raise InterruptedError
+
+    versions.commit = stop
+    try:
+        versions.load_versions(b.spark, table, batch, _CHANGES, ["match_id"], _SCOPE, SECOND_LOAD)
+    except InterruptedError:
+        pass
+    finally:
+        versions.commit = commit
+    versions.load_versions(b.spark, table, batch, _CHANGES, ["match_id"], _SCOPE, SECOND_LOAD)
+    return b.spark.table(table)
+
+
 check("D1_watermark_per_scope", lambda b: history.watermark(b.loaded, "last_updated", _SCOPE),
       "SELECT competition_id, season_id, watermark FROM marks")
 check("D1_watermark_global", lambda b: history.watermark(b.loaded, "last_updated"),
@@ -409,6 +440,16 @@ check("D6_upsert_versions", lambda b: history.upsert_versions(
     b.loaded, newer(b), ["match_id"], SECOND_LOAD, "last_updated"), "SELECT * FROM upserted")
 check("D6_upsert_stored_history", stored_upsert,
       "SELECT * FROM upserted WHERE status <> 'OLD'")
+check("D6_stored_null_keys", stored_null_keys,
+      """WITH given AS (SELECT * REPLACE (CASE WHEN match_id % 10 <> 0 THEN status END AS status) FROM first_batch)
+        SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS data_valid_from_utc,
+            CASE WHEN match_id % 5 = 0 THEN TIMESTAMP '2024-02-29 23:59:59.999' END AS data_valid_to_utc FROM given
+        UNION ALL SELECT *, TIMESTAMP '2024-03-01 00:00:00', NULL FROM given WHERE match_id % 5 = 0""")
+check("D6_stored_after_half_commit", stored_after_half_commit,
+      """SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS data_valid_from_utc,
+            CASE WHEN match_id % 5 = 0 THEN TIMESTAMP '2024-02-29 23:59:59.999' END AS data_valid_to_utc FROM first_batch
+        UNION ALL SELECT * REPLACE ('U' AS status), TIMESTAMP '2024-03-01 00:00:00', NULL FROM first_batch
+        WHERE match_id % 5 = 0""")
 check("D7_current_snapshot", lambda b: history.current_versions(history.upsert_versions(
     b.loaded, newer(b), ["match_id"], SECOND_LOAD, "last_updated")),
     "SELECT * FROM upserted WHERE data_valid_to_utc IS NULL")

@@ -456,7 +456,7 @@ def whole_run(b: Bridge) -> DataFrame:
     layers = tuple(b.scratch_schema() for _ in range(3))
     sources = bronze.Sources(b.competitions, b.matches, b.events, b.lineups)
     run_pipeline(b.spark, sources, FIRST_LOAD, [0, 1, 2, 3, 4, 99], min_season="1900",
-                 layers=layers, buckets=4)
+                 layers=layers)
     return b.spark.table(f"{layers[2]}.combined_passes")
 
 

@@ -13,14 +13,12 @@ from ..schemas import VALID_TO
 
 def in_scope(competitions: Iterable[int] | None = None, season: int | None = None,
              min_season: str | None = None) -> Column:
-    """Competition selection.
+    """Competition selection; without a list, all competitions.
 
     With a season: that season of the competitions. Without one: the seasons
     whose name is not below ``min_season`` (text comparison).
     """
-    if competitions is None:
-        return F.lit(True)
-    picked = F.col("competition_id").isin(*competitions)
+    picked = F.lit(True) if competitions is None else F.col("competition_id").isin(*competitions)
     if season is not None:
         return picked & (F.col("season_id") == season)
     if min_season is not None:

@@ -50,15 +50,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame
 
 def close_versions(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
                    valid_to: datetime, restamp: bool = False) -> DataFrame:
-    """Set the end time of the open versions whose key is incoming.
+    """Set the end time of the open versions whose key is incoming; NULL in a key equals NULL.
 
     Closed versions bypass the join. ``restamp`` also overwrites the end time
     of versions that were closed before.
     """
-    keys = list(keys)
-    hits = incoming.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    hits = incoming.select(*[F.col(f"`{k}`").alias(f"hit.{k}") for k in keys]).distinct().withColumn("_hit", F.lit(True))
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`hit.{k}`")) for k in keys]
     affected = history if restamp else history.filter(is_current())
-    stamped = affected.join(hits, keys, "left").withColumn(
+    stamped = affected.join(hits, same, "left").withColumn(
         VALID_TO, F.when(F.col("_hit"), naive(valid_to)).otherwise(F.col(VALID_TO))
     ).select(*history.columns)
     return stamped if restamp else history.filter(~is_current()).unionByName(stamped)

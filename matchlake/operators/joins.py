@@ -56,20 +56,24 @@ def without_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Exact payload size of a frame: one aggregate over it, meant for stored tables."""
-    width = F.lit(0)
+    """Size of a frame's rows as Spark holds them: a null bit and an 8-byte slot per column, and text besides.
+
+    One aggregate over it, meant for stored tables.
+    """
+    names = len(df.columns)
+    width = F.lit(8 * names + 8 * -(-names // 64))
     for field in df.schema.fields:
-        col = F.col(f"`{field.name}`")
-        text = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = width + (F.coalesce(F.octet_length(col), F.lit(0)) if text else F.lit(8))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            # padded to whole slots
+            width = width + F.coalesce(F.ceil(F.octet_length(F.col(f"`{field.name}`")) / 8) * 8, F.lit(0))
     row = df.agg(F.sum(width.cast("bigint")).alias("payload")).first()
     return row["payload"] or 0
 
 
-def strategy_for(parents: DataFrame, limit: int = BROADCAST_BYTES) -> str:
+def strategy_for(parents: DataFrame, limit: int = BROADCAST_BYTES) -> str | None:
     """Join hint for the smaller side of a wide join: broadcast if its measured
-    payload fits, else a shuffled hash join, which spares sorting the wide rows."""
-    return "broadcast" if measured_bytes(parents) <= limit else "shuffle_hash"
+    rows fit, else none: adaptive execution chooses, and a sort-merge join can spill."""
+    return "broadcast" if measured_bytes(parents) <= limit else None
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -27,6 +27,11 @@ def clean(df: DataFrame, declared: T.StructType, strict: bool = False) -> DataFr
     ])
 
 
+def cleaned_column(df: DataFrame, name: str, declared: T.StructType) -> Column:
+    """One declared column, coerced like ``clean`` does."""
+    return c.cleaned(_col(name), df.schema[name].dataType, declared[name])
+
+
 def align(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Exactly the declared columns in order: missing ones NULL, extra ones dropped."""
     present = dict(df.dtypes)

@@ -7,15 +7,16 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as s
 from ..operators import filters
-from ..operators.history import changed_only, newer_rows
+from ..operators.history import newer_rows
 from ..operators.lineups import flatten_lineups
-from ..operators.shaping import align, clean, repair_names
-from ..session import tune
+from ..operators.shaping import align, clean, cleaned_column, repair_names
+from ..session import scratch_path, tune
 from ..sources.tables import create_layer
-from ..sources.versions import load_versions, read_history, read_loaded_at
+from ..sources.versions import history_exists, load_versions, read_history
 
 
 @dataclass(frozen=True)
@@ -42,58 +43,80 @@ def pick_competitions(source: DataFrame, history: DataFrame | None,
 def pick_matches(source: DataFrame, history: DataFrame | None,
                  changed_competitions: DataFrame) -> DataFrame:
     """Clean newer matches of the changed competitions, watermark per season."""
-    matches = clean(source, s.MATCHES)
-    matches = changed_only(matches, changed_competitions, s.COMPETITION_KEY)
+    matches = clean(_of_parents(source, s.MATCHES, changed_competitions, s.COMPETITION_KEY), s.MATCHES)
     return newer_rows(matches, history, "last_updated", s.COMPETITION_KEY)
 
 
 def pick_events(source: DataFrame, changed_matches: DataFrame) -> DataFrame:
     """Clean events of the changed matches in the declared columns."""
-    events = changed_only(clean(source, s.EVENTS), changed_matches, s.MATCH_KEY)
+    events = clean(_of_parents(source, s.EVENTS, changed_matches, s.MATCH_KEY), s.EVENTS)
     return align(repair_names(events, ["player", "pass_recipient"]), s.EVENTS)
 
 
 def pick_lineups(source: DataFrame, changed_matches: DataFrame) -> DataFrame:
     """Flat lineups of the changed matches, tagged with competition and season."""
-    tags = changed_matches.select("match_id", *s.COMPETITION_KEY)
-    tagged = clean(source, s.LINEUPS).drop(*s.COMPETITION_KEY).join(tags, "match_id", "inner")
+    lineups = clean(_of_parents(source, s.LINEUPS, changed_matches, s.MATCH_KEY), s.LINEUPS)
+    tagged = tag_seasons(lineups.drop(*s.COMPETITION_KEY), changed_matches)
     return align(clean(flatten_lineups(tagged), s.LINEUPS), s.LINEUPS)
 
 
+def tag_seasons(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """Rows of a match table with the competition and season of their match."""
+    tags = matches.select("match_id", *s.COMPETITION_KEY).dropDuplicates(["match_id"])
+    return rows.join(tags, "match_id", "inner")
+
+
+def _of_parents(source: DataFrame, declared, parents: DataFrame, keys: list[str]) -> DataFrame:
+    """Raw rows of the given parents: only the key is cleaned before rows are dropped."""
+    renamed = parents.select(*[F.col(k).alias(f"parent.{k}") for k in keys])
+    same = [cleaned_column(source, k, declared) == F.col(f"`parent.{k}`") for k in keys]
+    return source.join(renamed, same, "left_semi")
+
+
+def in_seasons(source: DataFrame, matches: DataFrame) -> DataFrame:
+    """Restrict a source that is laid out by competition and season to the seasons of the matches.
+
+    One row per season reaches the driver; the literals prune the partitions of the source.
+    """
+    if not set(s.COMPETITION_KEY) <= set(source.columns):
+        return source
+    seasons = matches.select(*s.COMPETITION_KEY).distinct().collect()
+    for i, key in enumerate(s.COMPETITION_KEY):
+        source = source.filter(cleaned_column(source, key, s.MATCHES).isin(sorted({r[i] for r in seasons if r[i] is not None})))
+    return source
+
+
 def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str = "bronze",
                competitions: Iterable[int] | None = None, season: int | None = None,
-               min_season: str | None = None, buckets: int = 64) -> None:
+               min_season: str | None = None) -> None:
     """One incremental load of all four tables.
 
-    ``now`` marks the rows of this load. The rows it changed are read back by
-    that mark, so a load that stopped half way can be repeated with the same
-    ``now`` and carries on with the children of everything it had loaded.
+    The four batches are worked out first, each once, and stored. They are loaded children first: the update times
+    of competitions and matches, from which the next load tells what is new, move only when everything
+    below them is in. So a load that stopped half way is simply followed by another, at the same or a later time.
     """
     tune(spark)
     create_layer(spark, layer)
 
-    def stored(name: str, declared) -> DataFrame | None:
+    def current(name: str, declared) -> DataFrame | None:
         table = f"{layer}.{name}"
-        return read_history(spark, table, declared) if spark.catalog.tableExists(table) else None
-
-    def load(name: str, rows: DataFrame, declared, keys, bucket_by, newest=None) -> None:
-        load_versions(spark, f"{layer}.{name}", rows, declared, keys, bucket_by, now,
-                      newest, buckets)
-
-    def changed(name: str, declared) -> DataFrame:
-        return read_loaded_at(spark, f"{layer}.{name}", declared, now)
-
-    new = pick_competitions(sources.competitions, stored("competitions", s.COMPETITIONS),
-                            competitions, season, min_season)
-    load("competitions", new, s.COMPETITIONS, s.COMPETITION_KEY, "competition_id",
-         "match_updated")
-
-    new = pick_matches(sources.matches, stored("matches", s.MATCHES),
-                       changed("competitions", s.COMPETITIONS))
-    load("matches", new, s.MATCHES, s.MATCH_KEY, "match_id", "last_updated")
-
-    changed_matches = changed("matches", s.MATCHES)
-    load("lineups", pick_lineups(sources.lineups, changed_matches), s.LINEUPS, s.LINEUP_KEY,
-         "match_id")
-    load("events", pick_events(sources.events, changed_matches), s.EVENTS, s.EVENT_KEY,
-         "match_id")
+        return read_history(spark, table, declared).filter(filters.is_current()) if history_exists(spark, table) else None
+
+    def staged(name: str, rows: DataFrame) -> DataFrame:
+        path = scratch_path(spark, f"batch-{name}")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    new_competitions = staged("competitions", pick_competitions(
+        sources.competitions, current("competitions", s.COMPETITIONS), competitions, season, min_season))
+    new_matches = staged("matches", pick_matches(sources.matches, current("matches", s.MATCHES), new_competitions))
+    new_events = staged("events", tag_seasons(pick_events(in_seasons(sources.events, new_matches), new_matches), new_matches))
+    new_lineups = staged("lineups", pick_lineups(in_seasons(sources.lineups, new_matches), new_matches))
+
+    for name, rows, declared, keys, newest in (
+        ("events", new_events, s.EVENTS, s.EVENT_KEY, None),
+        ("lineups", new_lineups, s.LINEUPS, s.LINEUP_KEY, None),
+        ("matches", new_matches, s.MATCHES, s.MATCH_KEY, "last_updated"),
+        ("competitions", new_competitions, s.COMPETITIONS, s.COMPETITION_KEY, "match_updated"),
+    ):
+        load_versions(spark, f"{layer}.{name}", rows, declared, keys, s.COMPETITION_KEY, now, newest)

@@ -11,7 +11,6 @@ from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
 from ..session import tune
 from ..sources.tables import create_layer, rebuild, rebuild_view
-from ..sources.versions import BUCKET
 from . import gold, silver
 from .bronze import Sources, run_bronze
 
@@ -19,8 +18,8 @@ SILVER_SNAPSHOTS = ("competitions", "events", "lineups")
 
 
 def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer: str = "silver",
-               views: Collection[str] = (), broadcast_bytes: int = BROADCAST_BYTES) -> None:
-    """Rebuild silver. Snapshots named in ``views`` become views instead of copies.
+               views: Collection[str] = ("events",), broadcast_bytes: int = BROADCAST_BYTES) -> None:
+    """Rebuild silver. Snapshots named in ``views`` become views instead of copies, by default the largest.
 
     The match grain (``competition_matches``) is stored once: the event-grain
     table and the match-grain marts all start from it.
@@ -29,7 +28,7 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
     create_layer(spark, silver_layer)
 
     def bronze(name: str) -> DataFrame:
-        return spark.table(f"{bronze_layer}.{name}").drop(BUCKET)
+        return spark.table(f"{bronze_layer}.{name}")
 
     for name in SILVER_SNAPSHOTS:
         target = f"{silver_layer}.{name}"
@@ -81,10 +80,9 @@ def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str
 def run_pipeline(spark: SparkSession, sources: Sources, now: datetime,
                  competitions: Iterable[int] | None = None, season: int | None = None,
                  min_season: str | None = None,
-                 layers: tuple[str, str, str] = ("bronze", "silver", "gold"),
-                 buckets: int = 64) -> None:
+                 layers: tuple[str, str, str] = ("bronze", "silver", "gold")) -> None:
     """Bronze load of all listed competitions in one pass, then silver, then gold."""
-    run_bronze(spark, sources, now, layers[0], competitions, season, min_season, buckets)
+    run_bronze(spark, sources, now, layers[0], competitions, season, min_season)
     run_silver(spark, layers[0], layers[1])
     run_gold(spark, layers[1], layers[2])
 

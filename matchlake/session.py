@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,9 +41,14 @@ def build_session(app: str = "matchlake", **settings: str) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder all executors see: ``spark.checkpoint.dir``, set here only if unset."""
+    """Folder all executors see: ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder does if driver and executors are one process; a cluster needs the setting.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="matchlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

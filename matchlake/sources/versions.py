@@ -1,23 +1,26 @@
 """Stored version history.
 
-A history table is partitioned by its end time and by a bucket of a column that
-is part of, or fixed by, the natural key:
+A history ``t`` consists of two tables and a view:
 
-    data_valid_to_utc=<NULL>/key_bucket=7      open versions
-    data_valid_to_utc=2024-02-01 .../key_bucket=7   versions closed by that load
+    t_rows    the rows, partitioned by end time, slice (competition and season) and attempt
+    t_loads   one row per slice and committed attempt, in commit order
+    t         the committed rows
 
-Reading the current state prunes to the NULL partition. A load reads and rewrites
-only the open partitions of the buckets it touches; closed versions move once
-into the partition of their load and are never read again. Everything a load
-changes is one dynamic partition overwrite, and repeating a load with the same
-time gives the same table.
+An attempt writes, for the slices it touches, all open rows and the versions it closes, beside what is there;
+nothing is overwritten. Its single commit file in ``t_loads`` makes it count: from then on the open rows of
+a slice are those of its newest attempt, and the closed rows are those of all committed attempts. An attempt that stops before
+its commit leaves files nobody reads, and is simply run again. Slices a load does not touch keep their files.
+
+Keys are compared null-safe: a key column may be NULL. One load at a time may run per history.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,81 +31,106 @@ from ..operators.history import latest_per_key
 from ..operators.shaping import align, naive, stamp_versions, version_clock
 from ..schemas import VALID_FROM, VALID_TO
 
-BUCKET = "key_bucket"
-BUCKET_COUNT = "matchlake.buckets"
+SLICE, ATTEMPT = "slice", "attempt"
+
+
+@dataclass(frozen=True)
+class Committed:
+    """Newest attempt of each slice, all attempts, and the number of commits."""
+
+    newest: dict[str, str]
+    attempts: list[str]
+    commits: int
+
+    def condition(self, slices: Iterable[str] | None = None, closed: bool = True) -> str:
+        """SQL condition for the committed rows, on partition columns only."""
+        chosen = self.newest if slices is None else {s: self.newest[s] for s in slices if s in self.newest}
+        pairs = [f"{name}/{attempt}" for name, attempt in sorted(chosen.items())]
+        parts = [f"{VALID_TO} IS NULL AND concat_ws('/', {SLICE}, {ATTEMPT}) IN ({_literals(pairs)})"] if pairs else []
+        if closed and self.attempts:
+            parts.append(f"{VALID_TO} IS NOT NULL AND {ATTEMPT} IN ({_literals(self.attempts)})")
+        return " OR ".join(f"({p})" for p in parts) or "false"
 
 
-def create_history(spark: SparkSession, table: str, declared: T.StructType, buckets: int) -> None:
+def create_history(spark: SparkSession, table: str, declared: T.StructType) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BUCKET} int) USING parquet "
-        f"PARTITIONED BY ({VALID_TO}, {BUCKET}) TBLPROPERTIES ('{BUCKET_COUNT}' = '{buckets}')"
+        f"CREATE TABLE IF NOT EXISTS {table}_rows ({columns}, {SLICE} string, {ATTEMPT} string) USING parquet "
+        f"PARTITIONED BY ({VALID_TO}, {SLICE}, {ATTEMPT})"
     )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_loads ({SLICE} string, {ATTEMPT} string, number bigint) USING parquet")
 
 
-def read_history(spark: SparkSession, table: str, declared: T.StructType) -> DataFrame:
-    return spark.table(table).select(*_cols(declared.names))
+def committed(spark: SparkSession, table: str) -> Committed:
+    """What counts now: one row per slice and one per attempt reach the driver."""
+    loads = spark.table(f"{table}_loads")
+    newest = {r[0]: r[1] for r in loads.groupBy(SLICE).agg(F.max_by(ATTEMPT, "number")).collect()}
+    attempts = sorted(r[0] for r in loads.select(ATTEMPT).distinct().collect())
+    return Committed(newest, attempts, loads.agg(F.max("number")).first()[0] or 0)
 
 
-def read_loaded_at(spark: SparkSession, table: str, declared: T.StructType,
-                   now: datetime) -> DataFrame:
-    """Open versions a given load wrote: the changed rows that drive the next stage."""
-    history = read_history(spark, table, declared)
-    return history.filter(is_current() & (F.col(VALID_FROM) == naive(now)))
+def history_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(f"{table}_loads")
 
 
-def bucket_count(spark: SparkSession, table: str) -> int:
-    row = spark.sql(f"SHOW TBLPROPERTIES {table} ('{BUCKET_COUNT}')").first()
-    return int(row["value"])
+def read_history(spark: SparkSession, table: str, declared: T.StructType) -> DataFrame:
+    rows = spark.table(f"{table}_rows").filter(committed(spark, table).condition())
+    return rows.select(*_cols(declared.names))
 
 
 def load_versions(spark: SparkSession, table: str, incoming: DataFrame, declared: T.StructType,
-                  keys: Sequence[str], bucket_by: str, now: datetime,
-                  newest: str | None = None, buckets: int = 64) -> None:
-    """Close the open versions of the incoming keys and add the new ones."""
-    create_history(spark, table, declared, buckets)
+                  keys: Sequence[str], slice_by: Sequence[str], now: datetime,
+                  newest: str | None = None) -> None:
+    """Close the open versions of the incoming keys and add the new ones.
+
+    ``slice_by`` names columns of ``incoming`` that are part of the key or fixed by it. ``incoming`` is read
+    several times: pass a stored batch.
+    """
+    create_history(spark, table, declared)
+    state = committed(spark, table)
     valid_from, valid_to = version_clock(now)
-    latest = latest_per_key(incoming, keys, newest) if newest else incoming
-    bucket = _bucket(bucket_by, bucket_count(spark, table))
-    fresh = align(stamp_versions(latest, valid_from), declared).withColumn(BUCKET, bucket)
-    delivered = align(incoming, declared)
-
-    # at most one small integer per bucket; literals make the pruning static
-    touched = [row[0] for row in delivered.select(bucket.alias(BUCKET)).distinct().collect()]
-    if not touched:
-        return
-    # rows this load closed in an earlier attempt stay in its partition
-    stored = spark.table(table).filter(
-        F.col(BUCKET).isin(*touched) & (is_current() | (F.col(VALID_TO) == naive(valid_to)))
-    )
-    hits = delivered.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    marked = stored.join(hits, list(keys), "left")
-    replaced = F.col("_hit") & is_current()
-    again = replaced & (F.col(VALID_FROM) == naive(valid_from))
-    kept = marked.filter(~F.coalesce(again, F.lit(False))).withColumn(
-        VALID_TO, F.when(replaced, naive(valid_to)).otherwise(F.col(VALID_TO))
-    )
-    order = spark.table(table).columns
-    result = kept.select(*_cols(order)).unionByName(fresh.select(*_cols(order)))
-    with dynamic_overwrite(spark):
-        # rebalance splits an oversized bucket and merges small ones per write
-        result.hint("rebalance", VALID_TO, BUCKET).write.mode("overwrite").insertInto(table)
-
-
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions that receive rows."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def _bucket(column: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+    sliced = incoming.withColumn(SLICE, slice_name(slice_by))
+    touched = sorted(r[0] for r in sliced.select(SLICE).distinct().collect())
+    if touched:
+        with_slice = T.StructType([*declared.fields, T.StructField(SLICE, T.StringType())])
+        latest = latest_per_key(sliced, keys, newest) if newest else sliced
+        fresh = align(stamp_versions(latest, valid_from), with_slice)
+        open_rows = spark.table(f"{table}_rows").filter(state.condition(touched, closed=False)).drop(ATTEMPT)
+        # keys are compared as declared
+        hits = align(incoming, declared).select(*[F.col(f"`{k}`").alias(f"hit.{k}") for k in keys]).distinct()
+        same = reduce(Column.__and__, [F.col(f"`{k}`").eqNullSafe(F.col(f"`hit.{k}`")) for k in keys])
+        marked = open_rows.join(hits.withColumn("hit", F.lit(True)), same, "left")
+        hit = F.coalesce("hit", F.lit(False))
+        kept = marked.filter(~(hit & (F.col(VALID_FROM) == naive(valid_from)))).withColumn(
+            VALID_TO, F.when(hit, naive(valid_to)).otherwise(F.col(VALID_TO)))
+        attempt = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+        order = spark.table(f"{table}_rows").columns
+        result = kept.select(*_cols(fresh.columns)).unionByName(fresh).withColumn(ATTEMPT, F.lit(attempt))
+        # rebalance splits an oversized slice and merges small ones per write
+        result.select(*_cols(order)).hint("rebalance", VALID_TO, SLICE).write.mode("append").insertInto(f"{table}_rows")
+        commit(spark, table, touched, attempt, state.commits + 1)
+    publish(spark, table, declared)
+
+
+def commit(spark: SparkSession, table: str, slices: Sequence[str], attempt: str, number: int) -> None:
+    """Make an attempt count: one file, so it is there or it is not."""
+    rows = spark.createDataFrame([(s, attempt, number) for s in slices], f"{SLICE} string, {ATTEMPT} string, number bigint")
+    rows.coalesce(1).write.mode("append").insertInto(f"{table}_loads")
+
+
+def publish(spark: SparkSession, table: str, declared: T.StructType) -> None:
+    """Point the view at the committed rows."""
+    columns = ", ".join(_cols(declared.names))
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {table}_rows "
+              f"WHERE {committed(spark, table).condition()}")
+
+
+def slice_name(columns: Sequence[str]) -> Column:
+    return F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in columns])
+
+
+def _literals(texts: Sequence[str]) -> str:
+    return ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in texts)
 
 
 def _cols(names: Sequence[str]) -> list[str]:

@@ -1,11 +1,13 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from matchlake import schemas as s
 from matchlake.operators import filters, history
 from matchlake.operators.shaping import align, version_clock
+from matchlake.plans import bronze
 from matchlake.plans.bronze import Sources, run_bronze
 from matchlake.plans.pipeline import run_gold, run_silver
 from matchlake.sources import tables, versions
@@ -64,23 +66,74 @@ def test_stored_history_equals_the_dataframe_form(spark):
     for now, batch in batches:
         expected = history.upsert_versions(expected, batch, ["k"], now, "updated")
         for _ in range(2):  # repeating a load changes nothing
-            versions.load_versions(spark, "hist.t", batch, DECLARED, ["k"], "k", now, "updated", buckets=4)
+            versions.load_versions(spark, "hist.t", batch, DECLARED, ["k"], ["scope"], now, "updated")
         stored = versions.read_history(spark, "hist.t", DECLARED)
         assert rows(stored) == rows(align(expected, DECLARED))
     current = versions.read_history(spark, "hist.t", DECLARED).filter(filters.is_current())
-    plan = current._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnull(data_valid_to_utc" in plan
+    # closed versions are pruned as partitions: no file of theirs is read
+    assert current.count() == 41
+    assert not any("data_valid_to_utc=20" in path for path in current.inputFiles())
+    assert any("data_valid_to_utc=20" in path for path in versions.read_history(spark, "hist.t", DECLARED).inputFiles())
     # a failed first attempt and its repeat: rows closed by the first part stay closed
     late = frame(spark, [(1, 1, "d", day(4))])
     now = datetime(2024, 4, 1)
-    versions.load_versions(spark, "hist.t", late, DECLARED, ["k"], "k", now, buckets=4)
+    versions.load_versions(spark, "hist.t", late, DECLARED, ["k"], ["scope"], now)
     more = frame(spark, [(1, 1, "d", day(4)), (2, 2, "d", day(4))])
-    versions.load_versions(spark, "hist.t", more, DECLARED, ["k"], "k", now, buckets=4)
+    versions.load_versions(spark, "hist.t", more, DECLARED, ["k"], ["scope"], now)
     closed_at = version_clock(now)[1]
     closed = versions.read_history(spark, "hist.t", DECLARED).filter(F.col(s.VALID_TO) == F.lit(closed_at))
     assert rows(closed.select("k", "v")) == [(1, "a"), (2, "a")]
 
 
+def test_null_keys_are_closed_and_repeats_change_nothing(spark):
+    tables.create_layer(spark, "nul")
+    keys = ["k", "scope"]
+    batch = frame(spark, [(1, None, "a", day(1)), (1, 5, "a", day(1)), (None, None, "b", day(1))])
+    for now, v in ((T1, "x"), (T2, "y")):
+        for _ in range(3):
+            versions.load_versions(spark, "nul.t", batch.withColumn("v", F.lit(v)), DECLARED, keys, ["k"], now)
+    stored = rows(versions.read_history(spark, "nul.t", DECLARED).select("k", "scope", "v", s.VALID_TO))
+    closed = version_clock(T2)[1]
+    assert sorted(stored, key=str) == sorted(
+        [(k, c, v, e) for k, c in ((1, None), (1, 5), (None, None)) for v, e in (("x", closed), ("y", None))], key=str)
+    merged = history.upsert_versions(history.upsert_versions(None, batch, keys, T1), batch, keys, T2)
+    assert history.current_versions(merged).count() == 3
+
+
+def files(spark, table):
+    listed = spark.table(table).select("_metadata.file_path", "_metadata.file_modification_time").distinct()
+    return {tuple(r) for r in listed.collect()}
+
+
+def test_a_load_leaves_other_seasons_alone(spark):
+    tables.create_layer(spark, "sls")
+    batch = frame(spark, [(k, k % 4, "a", day(1)) for k in range(40)])
+    versions.load_versions(spark, "sls.t", batch, DECLARED, ["k"], ["scope"], T1)
+    before = files(spark, "sls.t_rows")
+    versions.load_versions(spark, "sls.t", frame(spark, [(4, 0, "b", day(2))]), DECLARED, ["k"], ["scope"], T2)
+    after = files(spark, "sls.t_rows")
+    assert before <= after
+    assert all("/slice=0/" in path for path, _ in after - before)
+    assert spark.table("sls.t").filter(filters.is_current()).count() == 40
+    assert spark.table("sls.t").count() == 41
+
+
+def test_a_stopped_load_changes_nothing_and_is_repeated(spark, monkeypatch):
+    tables.create_layer(spark, "hlf")
+    versions.load_versions(spark, "hlf.t", frame(spark, [(1, 1, "a", day(1)), (2, 1, "a", day(1))]), DECLARED, ["k"], ["scope"], T1)
+    first = rows(spark.table("hlf.t"))
+    again = frame(spark, [(1, 1, "b", day(2))])
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            versions.load_versions(spark, "hlf.t", again, DECLARED, ["k"], ["scope"], T2)
+    assert rows(spark.table("hlf.t")) == first
+    assert rows(versions.read_history(spark, "hlf.t", DECLARED)) == first
+    versions.load_versions(spark, "hlf.t", again, DECLARED, ["k"], ["scope"], T2)
+    assert rows(spark.table("hlf.t").select("k", "v", s.VALID_FROM, s.VALID_TO)) == [
+        (1, "a", T1, version_clock(T2)[1]), (1, "b", T2, None), (2, "a", T1, None)]
+
+
 def sources(spark, score: int, updated: datetime) -> Sources:
     competitions = spark.createDataFrame(
         [(43, 1, "2018", updated), (43, 2, "2016", updated), (43, 3, "2018/2019", updated), (7, 1, "2020", updated)],
@@ -107,9 +160,39 @@ def counts(spark, layer):
             for t in ("competitions", "matches", "events", "lineups")}
 
 
+def test_a_load_that_failed_half_way_is_made_up_for_at_a_later_time(spark, monkeypatch):
+    given = sources(spark, 0, day(2))
+    load = bronze.load_versions
+    for failing in ("lineups", "matches", "competitions"):
+        layer = f"fail_{failing}"
+        with monkeypatch.context() as patch:
+            patch.setattr(bronze, "load_versions", lambda sp, t, *a: 1 / 0 if t.endswith(failing) else load(sp, t, *a))
+            with pytest.raises(ZeroDivisionError):
+                run_bronze(spark, given, T1, layer, [43], min_season="2018")
+        run_bronze(spark, given, T2, layer, [43], min_season="2018")
+        assert {t: c[1] for t, c in counts(spark, layer).items()} == {
+            "competitions": 2, "matches": 2, "events": 6, "lineups": 2}
+
+
+def test_scope_without_a_list_keeps_its_season_filters(spark):
+    given = sources(spark, 0, day(2)).competitions
+    names = lambda **k: rows(given.filter(filters.in_scope(None, **k)).select("season_name"))
+    assert names(min_season="2018") == [("2018",), ("2018/2019",), ("2020",)]
+    assert names(season=2) == [("2016",)]
+
+
+def test_only_the_key_is_cleaned_before_rows_are_dropped(spark):
+    raw = spark.createDataFrame([("e1", "1", "5"), ("e2", "7", "x")], "id string, match_id string, minute string")
+    changed = spark.createDataFrame([(1, 43, 1)], "match_id long, competition_id long, season_id long")
+    picked = bronze.pick_events(raw, changed)
+    assert rows(picked.select("id", "match_id", "minute")) == [("e1", 1, 5)]
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("minute") < plan.index("Join LeftSemi")  # the cleaning projection stands above the join
+
+
 def test_two_loads_through_all_layers(spark):
     def load(now, score, updated):
-        run_bronze(spark, sources(spark, score, updated), now, "brz", [43], min_season="2018", buckets=2)
+        run_bronze(spark, sources(spark, score, updated), now, "brz", [43], min_season="2018")
 
     load(T1, 0, day(2))
     first = {"competitions": (2, 2), "matches": (2, 2), "events": (6, 6), "lineups": (2, 2)}
