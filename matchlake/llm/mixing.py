@@ -47,13 +47,14 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, repeats: int
         (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))).alias("open"))
     level = (F.col("budget") - F.col("full")) / F.col("open")
     # the first source, in this order, that the level does not fill sets the level of all behind it
-    first = F.min(F.when(level * F.col("weight") < F.col("cap"), level)).over(everything)
-    return rows.withColumn("level", first).select(
+    rows = rows.withColumn("reached", F.row_number().over(by_level)).withColumn("own", level)
+    first = F.min(F.when(F.col("own") * F.col("weight") < F.col("cap"), F.struct("reached", "own"))).over(everything)
+    return rows.withColumn("level", first["own"]).select(
         "source", "source_size", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), "cap").alias("target"))
 
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, exact: int = 1 << 16) -> np.ndarray:
-    """How many documents of each size sum to the budget, or as close below it as the last step allows.
+    """How many documents of each size sum to the budget, or as close to it as the last step allows.
 
     ``exact`` is the number of words up to which the knapsack is solved exactly.
     """
@@ -71,15 +72,20 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, exact: int = 1 << 16
         open_ -= more * int(sizes[i])
     # reachable sums as the bits of one number, a step per size and power of two of its documents
     reach, steps = 1, []
-    full = (1 << (open_ + 1)) - 1
+    top = 2 * open_
+    full = (1 << (top + 1)) - 1
     for i in order[::-1]:
         left, power = int(counts[i] - taken[i]), 1
-        while left > 0 and int(sizes[i]) <= open_ and not reach >> open_ & 1:
+        while left > 0 and int(sizes[i]) <= top and not reach >> open_ & 1:
             n = min(power, left)
             steps.append((i, n, reach))
             reach |= reach << n * int(sizes[i]) & full
             left, power = left - n, power * 2
-    goal = reach.bit_length() - 1
+    below = (reach & (1 << (open_ + 1)) - 1).bit_length() - 1
+    above = reach >> open_ + 1
+    # lowest sum above the budget, if it is nearer
+    over = open_ + (above & -above).bit_length() if above else below
+    goal = over if above and over - open_ < open_ - below else below
     for i, n, before in reversed(steps):
         if not before >> goal & 1:
             taken[i] += n
