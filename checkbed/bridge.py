@@ -75,10 +75,10 @@ class Bridge:
         return self._tables[name]
 
     def spread(self, name: str) -> DataFrame:
-        """Table whose rows reach all cores: a folder with fewer files than cores
-        (one row group each at test size) is repartitioned, a large one is not."""
+        """Table whose rows reach all cores: one with fewer partitions than cores
+        (one row group per file at test size) is repartitioned, a large one is not."""
         df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
     def scratch_schema(self) -> str:
         """A fresh schema in the shared scratch folder."""

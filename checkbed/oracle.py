@@ -34,6 +34,7 @@ def shaped(rules: dict[str, str], shape: T.StructType) -> str:
     )
 
 
+# The stage table of matchlake.functions.matches, as patterns.
 STAGE_RANK = """CAST(CASE
     WHEN st IS NULL THEN 99
     WHEN regexp_matches(st, 'regular.*season|league') THEN 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -460,6 +462,28 @@ def whole_run(b: Bridge) -> DataFrame:
     return b.spark.table(f"{layers[2]}.combined_passes")
 
 
+MARTS = {"player_lookup": "player_lookup", "team_lookup": "team_lookup", "match_duration_lookup": "durations",
+         "combined_player_playtime": "playtime", "combined_results": "results", "combined_matches": "match_mart",
+         "combined_passes": "passes"}
+
+
+def two_runs(b: Bridge) -> DataFrame:
+    """Row counts of all marts, and of versions in bronze, after a first run with earlier scores of two competitions
+    and a second one that delivers all sources again, those two competitions changed."""
+    layers = tuple(b.scratch_schema() for _ in range(3))
+    before = lambda name: F.expr(f"if(competition_id < 2, {name} - INTERVAL '20000' DAY, {name})")
+    first = bronze.Sources(
+        b.competitions.withColumn("match_updated", before("match_updated")),
+        b.matches.withColumn("last_updated", before("last_updated")).withColumn(
+            "home_score", F.expr("if(competition_id < 2, home_score + 1, home_score)")),
+        b.events, b.lineups)
+    run_pipeline(b.spark, first, FIRST_LOAD, layers=layers)
+    run_pipeline(b.spark, bronze.Sources(b.competitions, b.matches, b.events, b.lineups), SECOND_LOAD, layers=layers)
+    names = [f"{layers[0]}.{t}" for t in ("competitions", "matches", "events", "lineups")] + [f"{layers[2]}.{m}" for m in MARTS]
+    counts = [b.spark.table(n).agg(F.lit(n.split(".")[1]).alias("part"), F.count(F.lit(1)).alias("n")) for n in names]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def select_all(b: Bridge) -> DataFrame:
     table = f"{b.scratch_schema()}.combined_player_playtime"
     rebuild(playtime(b), table)
@@ -468,3 +492,8 @@ def select_all(b: Bridge) -> DataFrame:
 
 check("T17_select_all_of_mart", select_all, "SELECT * FROM playtime")
 check("D10_whole_run", whole_run, f"SELECT {_FIXED_EVENTS} FROM passes")
+check("D10_two_runs", two_runs, """SELECT 'competitions' AS part, count(*) + count(*) FILTER (competition_id < 2) AS n FROM b_competitions
+    UNION ALL SELECT 'matches', count(*) + count(*) FILTER (competition_id < 2) FROM b_matches
+    UNION ALL SELECT 'events', count(*) + count(*) FILTER (m.competition_id < 2) FROM b_events e JOIN b_matches m ON e.match_id = m.match_id
+    UNION ALL SELECT 'lineups', count(*) + count(*) FILTER (competition_id < 2) FROM b_lineups
+    """ + " ".join(f"UNION ALL SELECT '{mart}', count(*) FROM {name}" for mart, name in MARTS.items()))

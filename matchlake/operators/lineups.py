@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lineups as lx
@@ -53,19 +53,19 @@ def stint_summary(lineups: DataFrame) -> DataFrame:
 def flatten_lineups(lineups: DataFrame) -> DataFrame:
     """Nested lineup rows to scalar columns, one output row per input row.
 
-    Lists are reduced inside their row and then per match and player, with one
-    aggregation and one join for cards and stints together: a player listed
-    twice in a match gets the summary of both rows. Players without a relevant
-    stint keep NULL flags.
+    Lists are reduced inside their row, before the one shuffle, and then over all rows of a match and player: a
+    player listed twice in a match gets the summary of both rows. Players without a relevant stint keep NULL flags,
+    and rows without a player are nobody's: they keep NULL in all of them.
     """
-    base = lineups.withColumn("player_nickname", lx.nickname()).drop("cards", "positions")
-    marked = lineups.filter((F.size("cards") > 0) | _has_relevant_stint()).select(
-        *LINEUP_KEY, *_row_cards(), *_row_stints(), _has_relevant_stint().alias("_played")
-    )
     columns = [*lx.CARD_COLUMNS, *lx.STINT_COLUMNS, "_played"]
-    summary = _max_per_player(marked, columns)
+    rest = [name for name in lineups.columns if name not in (*LINEUP_KEY, *columns, "cards", "positions")]
+    named = lineups.withColumn("player_nickname", lx.nickname())
+    flat = named.select(*LINEUP_KEY, *rest, *_row_cards(), *_row_stints(), _has_relevant_stint().alias("_played"))
+    player = Window.partitionBy(*LINEUP_KEY)
+    named_player = F.col(LINEUP_KEY[0]).isNotNull() & F.col(LINEUP_KEY[1]).isNotNull()
+    summed = flat.select(*LINEUP_KEY, *rest, *[F.when(named_player, F.max(name).over(player)).alias(name) for name in columns])
     settled = {name: F.when(F.col("_played"), col) for name, col in lx.settle_stints().items()}
-    return base.join(summary.withColumns(settled).drop("_played"), LINEUP_KEY, "left")
+    return summed.withColumns(settled).drop("_played")
 
 
 def _row_cards() -> list[Column]:

@@ -200,6 +200,7 @@ def combined_results(match_grain: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the marts.
 MATCH_MART_KEYS = [
     "competition_id", "season_id", "country_name", "competition_name", "season_name",
     "match_id", "match_date", "match_name", "kick_off", "home_score", "away_score",
@@ -226,6 +227,7 @@ def combined_matches(match_grain: DataFrame) -> DataFrame:
     )
 
 
+# Flags of a pass, and the result columns joined to it.
 PASS_FLAGS = ["pass_switch", "pass_cross", "pass_shot_assist", "pass_inswinging",
               "pass_outswinging", "pass_cut_back", "pass_deflected", "pass_through_ball"]
 RESULT_COLUMNS = ["matches_played", "wins", "draw", "losses", "stage_reached"]
