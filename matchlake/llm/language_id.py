@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .counters import summed
 from .packed import LOWER, keys, pack, slices
 
 UND = "und"
 ORDERS = (2, 3, 4)
 BITS = 16
 WEIGHT_ROWS = 2000
-COUNT_SLICES = 32
 
 
 def codewords(classes: int) -> np.ndarray:
@@ -153,32 +153,18 @@ def train(labelled: DataFrame, batch_bytes: int = 4 << 20) -> CodeModel | None:
     if not languages:
         return None
     place = {lang: i for i, lang in enumerate(languages)}
-    width = len(languages) * len(ORDERS) << BITS
+    shape = (len(languages), len(ORDERS), 1 << BITS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), len(ORDERS), 1 << BITS), np.int64)
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(shape, np.int64)
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
                 label = np.array([place[x] for x in part.column("lang").to_pylist()])
                 total += count_grams(part.column("text"), label, len(languages))
-        pieces = np.array_split(total.ravel(), COUNT_SLICES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(COUNT_SLICES)), pa.array([p.tobytes() for p in pieces])], ["slice", "counts"])
+        return total.ravel()
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, np.int64)
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total)), pa.array([v.tobytes() for v in total.values()])], ["slice", "counts"])
-
-    kind = "slice long, counts binary"
-    summed = labelled.mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect()
-    summed.sort(key=lambda r: r["slice"])
-    flat = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in summed]) if summed else np.zeros(width, np.int64)
-    model = CodeModel(languages, flat.reshape(len(languages), len(ORDERS), 1 << BITS))
+    flat = summed(labelled, count, int(np.prod(shape)))
+    model = CodeModel(languages, flat.reshape(shape))
     # bounded sample for the bit weights: the rows with the smallest hashes
     sample = labelled.orderBy(F.xxhash64("text"), "text").limit(WEIGHT_ROWS).select("lang", "text").toArrow()
     if sample.num_rows:

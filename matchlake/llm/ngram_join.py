@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .counters import summed
 from .packed import SPACES, keys, mix, slices, words
 from .scratch import stored
 
 SKETCH = 1 << 22
 SKETCH_SHIFT = np.uint64(64 - 22)
-SKETCH_SLICES = 64
 #: bits of the parity sketch of a set: those of two sets differ in no more bits than the sets in elements
 PARITY_BITS = 2048
 
@@ -70,29 +70,15 @@ def parity_sketch(s: np.ndarray) -> bytes:
 def element_counts(documents: DataFrame, n: int, batch_bytes: int) -> np.ndarray:
     """How many texts hold the elements of each of ``SKETCH`` classes; the table has a fixed size."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int32)
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
                 sets = list(ngram_sets(part.column("text"), n))
-                total += np.bincount((np.concatenate(sets) >> SKETCH_SHIFT).astype(np.int64), minlength=SKETCH).astype(np.int32)
-        pieces = np.array_split(total, SKETCH_SLICES)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(SKETCH_SLICES)), pa.array([p.tobytes() for p in pieces])], ["slice", "counts"])
+                total += np.bincount((np.concatenate(sets) >> SKETCH_SHIFT).astype(np.int64), minlength=SKETCH)
+        return total
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, np.int32)
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total)), pa.array([v.tobytes() for v in total.values()])], ["slice", "counts"])
-
-    kind = "slice long, counts binary"
-    rows = documents.select("text").mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect()
-    rows.sort(key=lambda r: r["slice"])
-    return np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows]) if rows else np.zeros(SKETCH, np.int32)
+    return summed(documents.select("text"), count, SKETCH)
 
 
 def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> DataFrame:
