@@ -20,6 +20,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Name the place of this package to the Python workers, and keep Arrow batches small so that very long texts stay bounded in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
 
 
