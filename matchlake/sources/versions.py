@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.filters import is_current
 from ..operators.history import latest_per_key
 from ..operators.shaping import align, naive, stamp_versions, version_clock
 from ..schemas import VALID_FROM, VALID_TO
