@@ -2,14 +2,19 @@
 
 States are contexts of up to ``order - 1`` words. An arc of a state carries the log-probability of a next
 word; a word without an arc follows the failure arc to the next shorter context and pays its backoff weight.
-The last state, the empty context, knows every word of the training texts. A text is traversed once from left to
-right: the state after a word is the longest context that is a state.
+The last state, the empty context, knows every word of the training texts.
 
-The model is pruned by relative frequency: a state or arc longer than one word needs a count of at least
-``ngram_share`` of all training tokens, so there are at most ``1 / ngram_share`` of each whatever the corpus holds. All
-counts are exact and cover all training texts: an n-gram of that frequency consists of words of that frequency, which are
-counted first. Single words are never pruned: those above ``word_share`` (at most ``1 / word_share``) are
-broadcast, all rarer ones are joined to their counts.
+The automaton grows with the corpus: every n-gram that occurs at least ``LEAST`` times is an arc, at every size. Counts are
+exact. States and arcs are a partitioned table. Its costs are pushed onto the n-grams: with prefix a, suffix z and backoff
+weight b, the n-gram g weighs log P(g) - log P(z) - b(a) + b(g), and the empty context gives log P(w) + b(w). A path pays
+exactly the sum of the weights of all n-grams of its text that are arcs: of nested arcs that end at a word, all but the
+longest cancel out, and each state that fails leaves its b. So n-grams are looked up, in any order, instead of being stepped through.
+
+N-grams and words meet their counts and weights by hash, packed by range of the hash. Those above ``cached`` and
+``word_share`` of all training tokens are broadcast (at most ``1 / cached`` of each length, ``1 / word_share`` words);
+this changes where a weight is found, not the score.
+
+``ngram_share`` prunes n-grams below that share of the training tokens; it is 0 (no pruning) unless given.
 
 Smoothing: a discount ``DISCOUNT`` is taken from each count of an arc; what an unpruned state has left goes to
 shorter contexts. The empty context gives (c + 0.5) / (N + 0.5 (V + 1)), where V counts distinct tokens and one more
@@ -23,19 +28,25 @@ are scored whole; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .packed import END_OF_TEXT, SPACES, keys, mix, slices, words
-from .scratch import stored
+from .scratch import removed, stored
 
 DISCOUNT = 0.5
+#: count from which an n-gram of two words or more is an arc
+LEAST = 2
 JOIN = keys(2, 0x33) | np.uint64(1)
-#: hash of the empty context
-ROOT = np.uint64(0)
+#: n-grams that meet in one partition, and tokens that are packed together
+PER_PART, PER_PACK = 2 << 20, 2 << 20
+CELL = "part int, kind int, size int, data binary"
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -51,9 +62,21 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], ends + 1])
 
 
-def longer(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a context followed by a word; order matters."""
-    return mix(context * JOIN[0] + word * JOIN[1])
+def ngrams(found: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length from 2 on: where in the tokens such n-grams end, the hash of their prefix and of their suffix."""
+    place = np.arange(len(found)) - np.repeat(first[:-1], np.diff(first))
+    ids = found
+    for n in range(2, order + 1):
+        at = np.flatnonzero(place >= n - 1)
+        prefix, suffix = ids[at - 1], ids[at]
+        yield n, at, prefix, suffix
+        ids = np.zeros(len(found), np.uint64)
+        ids[at] = longer(prefix, suffix)
+
+
+def longer(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hash of the n-gram with this prefix and suffix, both one word shorter; order matters."""
+    return mix(prefix * JOIN[0] + suffix * JOIN[1])
 
 
 def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -64,209 +87,358 @@ def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[place] == values, place, -1)
 
 
+def shorter_by_one(ids: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """Suffix of n-grams from their hash and prefix: ``longer`` can be undone, as each of its steps can."""
+    x = ids
+    for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9), (30, None)):
+        x = x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))
+        if factor is not None:
+            x = x * np.uint64(pow(factor, -1, 1 << 64))
+    return (x - prefix * JOIN[0]) * np.uint64(pow(int(JOIN[1]), -1, 1 << 64))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _tally(batches: Iterator[pa.RecordBatch], pick, batch_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Counted rows of what ``pick`` makes of each batch: a matrix whose rows are counted."""
-    for batch in batches:
-        for part in slices(batch, "text", batch_bytes):
-            rows = pick(part.column("text"))
-            if len(rows[0]):
-                # rows with the same first column are the same
-                first, example, n = np.unique(rows[0], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(first)), *(pa.array(signed(c[example])) for c in rows[1:]), pa.array(n)],
-                    [f"c{i}" for i in range(len(rows))] + ["n"])
+def cells(key: np.ndarray, columns: list[np.ndarray], kind: int, parts: int) -> pa.RecordBatch:
+    """Columns that are sorted by ``key``, cut where the part of the key changes and compressed.
+
+    Kinds from 0 on have the key as first column and keep its differences.
+    """
+    part = (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+    heads = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(heads[1:], len(part))
+    data = []
+    for a, b in zip(heads, ends, strict=True):
+        cut = [c[a:b] for c in columns]
+        if kind >= 0:
+            cut[0] = np.diff(cut[0], prepend=cut[0].dtype.type(0))
+        raw = b"".join((_bytes(c).T if _by_byte(c.dtype, i) else c).tobytes() for i, c in enumerate(cut))
+        data.append(pa.compress(raw, codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[heads]), pa.array(np.full(len(heads), kind, np.int32)), pa.array((ends - heads).astype(np.int32)),
+         pa.array(data, pa.binary())], ["part", "kind", "size", "data"])
+
+
+def _by_byte(dtype: np.dtype, place: int) -> bool:
+    """Whether a column is packed byte by byte, the first bytes of all values first: not where whole values repeat."""
+    return place == 0 or dtype.kind != "f" and dtype.itemsize == 4
+
+
+def _bytes(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+
+
+def opened(batch: pa.RecordBatch, types: dict[int, list]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Kind and columns of each packed row."""
+    for kind, size, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "size", "data")), strict=True):
+        dtypes = [np.dtype(t) for t in types[kind]]
+        raw = pa.decompress(data, decompressed_size=size * sum(t.itemsize for t in dtypes), codec="zstd", asbytes=True)
+        out, at = [], 0
+        for i, t in enumerate(dtypes):
+            if _by_byte(t, i):
+                given = np.frombuffer(raw, np.uint8, size * t.itemsize, at).reshape(t.itemsize, size)
+                out.append(np.ascontiguousarray(given.T).view(t).reshape(size))
+            else:
+                out.append(np.frombuffer(raw, t, size, at))
+            at += size * t.itemsize
+        if kind >= 0:
+            out[0] = np.cumsum(out[0], dtype=out[0].dtype)
+        yield kind, out
+
+
+@contextmanager
+def freed(spark: SparkSession):
+    """Shuffle files are removed as soon as the table they fed is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def parts_for(spark: SparkSession, total: int, order: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-total * (order - 1) // PER_PART))
 
 
 def word_counts(training: DataFrame, batch_bytes: int) -> DataFrame:
     """c0 (token hash), n: exact counts of all tokens of the training texts."""
-    counted = training.mapInArrow(
-        lambda b: _tally(b, lambda t: [tokens(t)[0]], batch_bytes), "c0 long, n long")
-    return counted.groupBy("c0").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", batch_bytes):
+                found, n = np.unique(tokens(part.column("text"))[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], ["c0", "n"])
 
+    return training.mapInArrow(run, "c0 long, n long").groupBy("c0").agg(F.sum("n").alias("n"))
 
-def ngram_counts(training: DataFrame, frequent, order: int, least: int, batch_bytes: int) -> DataFrame:
-    """c0 (hash of the n-gram), c1 (of its context), c2 (of its last word), n: exact counts from ``least`` on.
 
-    ``frequent`` is the broadcast sorted list of the n-grams of one word less that are frequent enough, and of the
-    frequent words: an n-gram is counted only if its context and its last word are in them.
-    """
-    def pick(texts: pa.Array) -> list[np.ndarray]:
-        contexts, vocabulary = frequent.value
-        found, first = tokens(texts)
-        known = find(vocabulary, found) >= 0
-        context, ok = contexts_at(found, first, order)
-        at = np.flatnonzero(ok & known)
-        at = at[find(contexts, context[at]) >= 0]
-        return [longer(context[at], found[at]), context[at], found[at]]
+def ngram_counts(training: DataFrame, length: int, least: int, parts: int, batch_bytes: int) -> DataFrame:
+    """id, prefix, suffix (hashes), n of all n-grams of one length: exact counts from ``least`` on."""
+    types = {0: ["u8", "u8", "u4"]}
 
-    counted = training.mapInArrow(lambda b: _tally(b, pick, batch_bytes), "c0 long, c1 long, c2 long, n long")
-    return counted.groupBy("c0", "c1", "c2").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    def tally(ids: np.ndarray, prefix: np.ndarray, n: np.ndarray | None):
+        at = np.argsort(ids)
+        ids = ids[at]
+        heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        count = np.diff(np.append(heads, len(ids))) if n is None else np.add.reduceat(n[at].astype(np.int64), heads)
+        return ids[heads], prefix[at[heads]], count
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
 
-def contexts_at(found: np.ndarray, first: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the ``order - 1`` tokens before each token, and whether the text has that many."""
-    place = np.arange(len(found)) - np.repeat(first[:-1], np.diff(first))
-    context = np.zeros(len(found), np.uint64)
-    for back in range(order - 1, 0, -1):
-        before = np.concatenate([np.zeros(back, np.uint64), found[:-back]]) if len(found) > back else np.zeros(len(found), np.uint64)
-        context = longer(context, before)
-    return context, place >= order - 1
-
-
-class Automaton:
-    """Sorted arrays: words with log-probability; states with backoff weight and failure arc; arcs with log-probability."""
-
-    def __init__(self, total: int, distinct: int, head: tuple[np.ndarray, np.ndarray], levels: list[tuple], order: int) -> None:
-        self.order, self.total, self.distinct = order, total, distinct
-        at = np.argsort(head[0])
-        self.words, self.counts = head[0][at], head[1][at]
-        self.word_log = self.base(self.counts)
-        self.states, self.backoff, self.fail = np.array([ROOT]), np.zeros(1), np.array([-1])
-        self.arcs, self.arc_log = np.empty(0, np.uint64), np.empty(0)
-        # count of each context: of the words, then of the n-grams of the level before
-        context_hash, context_count = longer(np.zeros(len(self.words), np.uint64), self.words), self.counts
-        shorter = np.zeros(len(self.words), np.uint64)  # context without its first word
-        for c0, c1, c2, n, tail in levels:
-            self._add(context_hash, context_count, shorter, c1, c2, n)
-            context_hash, context_count, shorter = c0, n, tail
-
-    def base(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-
-    def _add(self, contexts, counts, shorter, c1, c2, n) -> None:
-        """States and arcs of one length, from the n-grams of that length that were kept."""
-        if not len(c1):
-            return
-        at = np.argsort(contexts)
-        contexts, counts, shorter = contexts[at], counts[at], shorter[at]
-        owner = find(contexts, c1)
-        p = np.maximum(n - DISCOUNT, 0) / counts[owner]
-        lower = 10 ** self.log_prob(shorter[owner], c2)
-        kept, below = np.bincount(owner, p, len(contexts)), np.bincount(owner, lower, len(contexts))
-        used = np.flatnonzero(np.bincount(owner, minlength=len(contexts)))
-        weight = np.log10(np.maximum(1 - kept[used], 1e-12) / np.maximum(1 - below[used], 1e-12))
-        fail_hash = shorter[used]
-        states = np.concatenate([self.states, contexts[used]])
-        backoff = np.concatenate([self.backoff, weight])
-        fails = np.concatenate([np.where(self.fail >= 0, self.states[self.fail], ROOT), fail_hash])
-        arcs = np.concatenate([self.arcs, longer(contexts[owner], c2)])
-        logs = np.concatenate([self.arc_log, np.log10(np.maximum(p, 1e-300))])
-        order = np.argsort(states)
-        self.states, self.backoff = states[order], backoff[order]
-        # the failure arc leads to the longest shorter context that is a state, else to the root
-        target = find(self.states, fails[order])
-        root = int(find(self.states, np.array([ROOT]))[0])
-        self.fail = np.where(target >= 0, target, root)
-        self.fail[root] = -1
-        order = np.argsort(arcs)
-        self.arcs, self.arc_log = arcs[order], logs[order]
-
-    def log_prob(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """log10 probability of each word after each context; words that are not in the head count as unseen."""
-        state = find(self.states, contexts)
-        root = int(find(self.states, np.array([ROOT]))[0])
-        paid, rest = self.walk(np.where(state >= 0, state, root), words)
-        place = find(self.words, words[rest])
-        paid[rest] += np.where(place >= 0, self.word_log[np.maximum(place, 0)], self.base(np.zeros(1)))
-        return paid
-
-    def walk(self, state: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Follow failure arcs until the word has an arc: what was paid, and the words that end at the root."""
-        state, paid = state.copy(), np.zeros(len(state))
-        open_ = np.flatnonzero(self.fail[state] >= 0)
-        at_root = [np.flatnonzero(self.fail[state] < 0)]
-        while len(open_):
-            arc = find(self.arcs, longer(self.states[state[open_]], words[open_]))
-            paid[open_] += np.where(arc >= 0, self.arc_log[np.maximum(arc, 0)] if len(self.arcs) else 0.0, self.backoff[state[open_]])
-            open_ = open_[arc < 0]
-            state[open_] = self.fail[state[open_]]
-            ended = self.fail[state[open_]] < 0
-            at_root.append(open_[ended])
-            open_ = open_[~ended]
-        return paid, np.sort(np.concatenate(at_root))
-
-    def traverse(self, found: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What each token pays before the root, and the tokens that reach it.
-
-        The state before a token is fixed by the tokens before it, so all tokens of a batch step at once.
-        """
-        root = int(find(self.states, np.array([ROOT]))[0])
-        state = np.full(len(found), root, np.int64)
-        for length in range(2, self.order + 1):
-            context, ok = contexts_at(found, first, length)
-            here = np.flatnonzero(ok)
-            place = find(self.states, context[here])
-            state[here[place >= 0]] = place[place >= 0]
-        return self.walk(state, found)
-
-
-def train(training: DataFrame, order: int = 3, ngram_share: float = 1e-5, word_share: float = 2.5e-7,
-          batch_bytes: int = 8 << 20) -> tuple[Automaton, DataFrame]:
+        def full():
+            if waiting:
+                ids, prefix, count = tally(*(np.concatenate(c) for c in zip(*waiting, strict=True)), None)
+                waiting.clear()
+                yield cells(ids, [ids, prefix, count.astype(np.uint32)], 0, parts)
+
+        for batch in batches:
+            for part in slices(batch, "text", batch_bytes):
+                found, first = tokens(part.column("text"))
+                *_, (_, at, prefix, suffix) = ngrams(found, first, length)
+                if len(at):
+                    waiting.append((longer(prefix, suffix), prefix))
+                    size += len(at)
+                if size >= PER_PACK:
+                    yield from full()
+                    size = 0
+        yield from full()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = [columns for batch in batches for _, columns in opened(batch, types)]
+        if given:
+            ids, prefix, count = tally(*(np.concatenate(c) for c in zip(*given, strict=True)))
+            given.clear()
+            kept = np.flatnonzero(count >= least)
+            ids, prefix = ids[kept], prefix[kept]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(signed(c)) for c in (ids, prefix, shorter_by_one(ids, prefix))), pa.array(count[kept])],
+                ["id", "prefix", "suffix", "n"])
+
+    return training.mapInArrow(pack, CELL).repartitionById(parts, F.col("part")).mapInArrow(
+        merge, "id long, prefix long, suffix long, n long")
+
+
+@dataclass
+class Model:
+    """Sizes, the broadcast part of the weights (sorted arrays) and the table of all other ones: id, weight, base, known."""
+
+    order: int
+    total: int
+    distinct: int
+    parts: int
+    words: np.ndarray
+    word_base: np.ndarray
+    word_weight: np.ndarray
+    ngrams: np.ndarray
+    ngram_weight: np.ndarray
+    table: DataFrame | None
+
+    @property
+    def unseen(self) -> float:
+        return float(np.log10(0.5 / (self.total + 0.5 * (self.distinct + 1))))
+
+
+def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, word_share: float = 2.5e-7,
+          batch_bytes: int = 8 << 20, cached: float = 1e-6) -> tuple[Model, DataFrame]:
     """The automaton, and the table (c0, n) of all token counts, from rows of (text)."""
     spark = training.sparkSession
     training = training.select("text")
-    counts = stored(word_counts(training, batch_bytes), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    head = counts.filter(F.col("n") >= max(1, word_share * total)).toArrow()
-    head_words, head_counts = (head.column(k).to_numpy() for k in ("c0", "n"))
-    head_words = head_words.view(np.uint64)
-    least = max(2, int(np.ceil(ngram_share * total)))
-    vocabulary = np.sort(head_words[head_counts >= least])
-    contexts = np.sort(longer(np.zeros(len(vocabulary), np.uint64), vocabulary))
-    levels, tails = [], None
-    for n in range(2, order + 1):
-        frequent = spark.sparkContext.broadcast((contexts, vocabulary))
-        kept = ngram_counts(training, frequent, n, least, batch_bytes).toArrow()
-        c0, c1, c2 = (kept.column(k).to_numpy().view(np.uint64) for k in ("c0", "c1", "c2"))
-        # the context without its first word: the last word alone, or the shorter context followed by it
-        if tails is None:
-            shorter = np.zeros(len(c1), np.uint64)
-        else:
-            shorter = tails[1][find(tails[0], c1)]
-        tail = longer(shorter, c2)
-        levels.append((c0, c1, c2, kept.column("n").to_numpy(), tail))
-        at = np.argsort(c0)
-        tails = (c0[at], tail[at])
-        contexts = c0[at]
-    return Automaton(int(total), int(distinct), (head_words, head_counts), levels, order), counts
-
-
-def score(documents: DataFrame, model: Automaton, counts: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
+    with freed(spark):
+        counts = stored(word_counts(training, batch_bytes), "words")
+        total, distinct = (int(x) for x in counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first())
+        least = max(LEAST, int(np.ceil(ngram_share * total)))
+        parts = parts_for(spark, total, order)
+        mass = total + 0.5 * (distinct + 1)
+        # probability and count of the n-grams one word shorter, and what they weigh but for their own backoff
+        shorter = counts.select(F.col("c0").alias("id"), "n", ((F.col("n") + 0.5) / mass).alias("p"))
+        shorter = shorter.withColumn("weight", F.log10("p") - F.log10(F.lit(0.5 / mass)))
+        tables = []
+        for length in range(2, order + 1):
+            grams = stored(ngram_counts(training, length, least, parts, batch_bytes), "ngrams")
+            # the suffix of an arc is an arc: it is at least as frequent
+            arcs = stored(grams.join(shorter.select(F.col("id").alias("suffix"), F.col("p").alias("lower")), "suffix").drop("suffix"), "arcs")
+            removed(grams)
+            states = arcs.groupBy("prefix").agg(F.sum(F.col("n") - DISCOUNT).alias("kept"), F.sum("lower").alias("below")).join(
+                shorter.select(F.col("id").alias("prefix"), F.col("n").alias("of")), "prefix")
+            left = lambda x: F.greatest(1 - x, F.lit(1e-12))
+            states = stored(states.select("prefix", "of", F.log10(left(F.col("kept") / F.col("of")) / left(F.col("below"))).alias("backoff")), "states")
+            tables.append(stored(_weights(shorter, states, length - 1), "weights"))
+            if length > 2:
+                removed(shorter)
+            p = (F.col("n") - DISCOUNT) / F.col("of")
+            shorter = stored(arcs.join(states, "prefix").select(
+                "id", "n", p.alias("p"), (F.log10(p / F.col("lower")) - F.col("backoff")).alias("weight")), "arcs")
+            removed(arcs)
+            removed(states)
+        tables.append(_weights(shorter, None, order))
+        weights = tables[0]
+        for t in tables[1:]:
+            weights = weights.unionAll(t)
+    often = F.when(F.col("length") == 1, F.lit(max(1.0, word_share * total))).otherwise(F.lit(cached * total)) <= F.col("n")
+    head = weights.filter(often).toArrow()
+    ids, n, weight, length = (head.column(c).to_numpy() for c in ("id", "n", "weight", "length"))
+    ids, one = ids.view(np.uint64), length == 1
+    at, up = np.flatnonzero(one), np.flatnonzero(~one)
+    at, up = at[np.argsort(ids[at])], up[np.argsort(ids[up])]
+    unseen = np.log10(0.5 / mass)
+    table = weights.filter(~often).select(
+        "id", "weight", F.when(F.col("length") == 1, F.log10((F.col("n") + 0.5) / mass) - F.lit(float(unseen))).otherwise(0.0).alias("base"),
+        (F.col("length") == 1).cast("int").alias("known"))
+    return Model(order, total, distinct, parts, ids[at], np.log10((n[at] + 0.5) / mass), weight[at] + unseen,
+                 ids[up], weight[up], table if total else None), counts
+
+
+def _weights(ngrams_: DataFrame, states: DataFrame | None, length: int) -> DataFrame:
+    """length, id, n, weight of all n-grams of one length, with the backoff of those that are states.
+
+    Words weigh what they have over an unseen word.
+    """
+    if states is None:
+        return ngrams_.select(F.lit(length).alias("length"), "id", "n", "weight")
+    own = states.select(F.col("prefix").alias("id"), "backoff")
+    return ngrams_.join(own, "id", "left").select(
+        F.lit(length).alias("length"), "id", "n", (F.col("weight") + F.coalesce("backoff", F.lit(0.0))).alias("weight"))
+
+
+#: packed rows: weights of the model, postings (hash, row less the first row, first row), partial sums of rows
+WEIGHTS, POSTINGS, SUMS = 0, 1, -1
+TYPES = {WEIGHTS: ["u8", "f8", "f8", "u1"], POSTINGS: ["u8", "u4", "i8"], SUMS: ["i8", "f8", "f8", "i4"]}
+
+
+def score(documents: DataFrame, model: Model, counts: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score and the row number of every row of (doc_id, text)."""
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    parts, order, unseen, total = model.parts, model.order, model.unseen, model.total
+    shared = spark.sparkContext.broadcast((model.words, model.word_base, model.word_weight, model.ngrams, model.ngram_weight))
     kind = dict(documents.dtypes)["doc_id"]
+    # rows of one document, or packed rows that go to the partition of their hashes
+    mixed = f"{CELL}, row long, doc_id {kind}, n_tokens long, known long, base double, model double"
+    names = [c.split(" ")[0] for c in mixed.split(", ")]
+
+    def whole(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
+        """The batch with all columns of both sorts of rows."""
+        have = set(batch.schema.names)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(f.name).cast(f.type) if f.name in have else pa.nulls(batch.num_rows, f.type) for f in schema], schema=schema)
+
+    def schema_of(doc_type: pa.DataType) -> pa.Schema:
+        fixed = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), doc_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.schema(list(zip(names, fixed, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        heads, base, weight, often, often_weight = shared.value
         for batch in batches:
+            schema = schema_of(batch.schema.field("doc_id").type)
             for part in slices(batch, "text", batch_bytes):
                 found, first = tokens(part.column("text"))
-                paid, at_root = automaton.traverse(found, first)
-                place = find(automaton.words, found)
-                log = np.where(place >= 0, automaton.word_log[np.maximum(place, 0)] if len(automaton.words) else 0.0, 0.0)
-                ended = np.zeros(len(found), dtype=bool)
-                ended[at_root] = True
-                rare = np.flatnonzero(place < 0)
-                sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), pa.array(np.diff(first)),
-                     pa.array(sums((place >= 0).astype(np.int64))), pa.array(sums(log)), pa.array(sums(paid + np.where(ended, log, 0))),
-                     pa.ListArray.from_arrays(np.searchsorted(rare, first).astype(np.int32), pa.array(signed(found[rare])))],
-                    ["row", "doc_id", "n_tokens", "known", "base", "model", "rare"])
+                rows = part.column("row").to_numpy()
+                owner = np.repeat(np.arange(len(rows)), np.diff(first))
+                sums = lambda at, x: np.bincount(owner[at], x, len(rows))  # noqa: E731,B023
+                place = find(heads, found)
+                near, far = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+                known = sums(near, None)
+                of_base, of_model = sums(near, base[place[near]]), sums(near, weight[place[near]])
+                missing = sums(far, np.full(len(far), unseen))
+                ids, who = [found[far]], [owner[far]]
+                for _, at, prefix, suffix in ngrams(found, first, order):
+                    gram = longer(prefix, suffix)
+                    place = find(often, gram)
+                    near, far = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+                    of_model = of_model + sums(at[near], often_weight[place[near]])
+                    ids.append(gram[far])
+                    who.append(owner[at[far]])
+                yield whole(pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(rows)) % parts), pa.array(np.full(len(rows), POSTINGS)), part.column("row"), part.column("doc_id"), pa.array(np.diff(first)),
+                     pa.array(known), pa.array(of_base + missing), pa.array(of_model + missing)],
+                    ["part", "kind", "row", "doc_id", "n_tokens", "known", "base", "model"]), schema)
+                ids, who = np.concatenate(ids), np.concatenate(who)
+                if len(ids) and total:
+                    at = np.argsort(ids)
+                    yield whole(cells(ids[at], [ids[at], who[at].astype(np.uint32), np.full(len(at), rows[0])], POSTINGS, parts), schema)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, weight, base, known = (batch.column(c).to_numpy() for c in ("id", "weight", "base", "known"))
+            at = np.argsort(ids.view(np.uint64))
+            if len(at):
+                yield cells(ids.view(np.uint64)[at], [ids.view(np.uint64)[at], weight[at], base[at], known[at].astype(np.uint8)], WEIGHTS, parts)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the weights come first, postings stream past them
+        given, table, waiting, size, schema = [], None, [], 0, None
+
+        def full():
+            if waiting:
+                columns = summed([np.concatenate(c) for c in zip(*waiting, strict=True)])
+                waiting.clear()
+                at = np.argsort(spread(columns[0]))
+                yield whole(cells(spread(columns[0])[at], [c[at] for c in columns], SUMS, parts), schema)
+
+        for batch in batches:
+            schema = schema_of(batch.schema.field("doc_id").type)
+            packed = batch.column("data").is_valid()
+            ready = batch.filter(pc.invert(packed))
+            if ready.num_rows:
+                yield whole(ready, schema)
+            for sort, columns in opened(batch.filter(packed), TYPES):
+                if sort == WEIGHTS:
+                    given.append(columns)
+                    continue
+                if table is None:
+                    table = [np.concatenate(c) for c in zip(*given, strict=True)] if given else [np.empty(0, t) for t in TYPES[WEIGHTS]]
+                    given = []
+                    at = np.argsort(table[0])
+                    table = [c[at] for c in table]
+                ids, offset, start = columns
+                place = find(table[0], ids)
+                hit = np.flatnonzero(place >= 0)
+                if len(hit):
+                    place = place[hit]
+                    waiting.append((start[hit] + offset[hit], table[1][place], table[2][place], table[3][place].astype(np.int32)))
+                    size += len(hit)
+                if size >= PER_PACK:
+                    yield from full()
+                    size = 0
+        yield from full()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            for _, columns in opened(batch, TYPES):
+                waiting.append(columns)
+                size += len(columns[0])
+                if size >= PER_PACK:
+                    waiting, size = [summed([np.concatenate(c) for c in zip(*waiting, strict=True)])], 0
+        if waiting:
+            columns = summed([np.concatenate(c) for c in zip(*waiting, strict=True)])
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0]), *(pa.array(c) for c in columns[1:3]), pa.array(columns[3].astype(np.int64))],
+                                             ["row", "more_model", "more_base", "more"])
 
     numbered = documents.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    scored = stored(numbered.mapInArrow(
-        run, f"row long, doc_id {kind}, n_tokens long, known long, base double, model double, rare array<long>"), "scored")
-    # words below the broadcast share never have an arc of their own, so both scores take the same from the join
-    rare = scored.select("row", F.explode("rare").alias("c0")).join(counts, "c0", "left")
-    log = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(model.total + 0.5 * (model.distinct + 1)))
-    sums = rare.groupBy("row").agg(F.count("n").alias("more"), F.sum(log).alias("log"))
+    dealt = numbered.mapInArrow(run, mixed)
+    if model.table is not None:
+        packed = model.table.mapInArrow(pack, CELL)
+        dealt = dealt.unionByName(packed, allowMissingColumns=True)
+    with freed(spark):
+        met = stored(dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("kind").mapInArrow(meet, mixed), "scored")
+        sums = stored(met.filter("data is not null").select("part", "kind", "size", "data").repartitionById(parts, F.col("part")).mapInArrow(
+            add, "row long, more_model double, more_base double, more long"), "sums")
     none = lambda name: F.coalesce(name, F.lit(0))
-    return scored.drop("rare").join(sums, "row", "left").select(
+    return met.filter("data is null").join(sums, "row", "left").select(
         "row", "doc_id", "n_tokens", (F.col("known") + none("more")).alias("n_known"),
-        (F.col("base") + none("log")).alias("base_score"), (F.col("model") + none("log")).alias("score"))
+        (F.col("base") + none("more_base")).alias("base_score"), (F.col("model") + none("more_model")).alias("score"))
+
+
+def spread(rows: np.ndarray) -> np.ndarray:
+    return mix(rows.astype(np.uint64))
+
+
+def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows with the sums of their other columns."""
+    rows, at = np.unique(columns[0], return_inverse=True)
+    out = [np.bincount(at, c, len(rows)) for c in columns[1:]]
+    return [rows, out[0], out[1], np.rint(out[2]).astype(np.int32)]

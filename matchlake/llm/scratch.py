@@ -17,6 +17,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Delete the folder of a table from ``stored`` that nothing reads any more."""
+    spark: SparkSession = df.sparkSession
+    for name in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def prepare(spark: SparkSession) -> None:
     """Name the place of this package to the Python workers, and keep Arrow batches small so that very long texts stay bounded in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

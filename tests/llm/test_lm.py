@@ -103,3 +103,22 @@ def test_without_training_texts(session, odd_documents, no_documents):
     assert {(r.n_known, r.score, r.base_score) for r in rows} == {(0, 0.0, 0.0)}
     model, counts = backoff_lm.train(odd_documents)
     assert backoff_lm.score(no_documents, model, counts).isEmpty()
+
+
+@pytest.mark.parametrize("broadcast", [{}, {"word_share": 1.0, "cached": 1.0}])
+def test_repeated_ngrams_are_arcs_at_every_size(session, broadcast):
+    """What occurs twice is an arc, however many tokens there are, and whether or not weights are broadcast."""
+    filler = [" ".join(f"w{i * 7 % 101} v{i * 11 % 89}" for i in range(k, k + 25_000)) for k in range(0, 250_000, 25_000)]
+    rare = [f"a{k} b{k} c{k} d{k % 5}" for k in range(50)] * 2 + [f"a{k} b{k} only{k}" for k in range(50)]
+    asked = ["a3 b3 c3 d3", "a3 b3 w7", "never a4 b4 c4", "w7 v11 w14", "", None]
+    rows = list(enumerate([*filler, *rare]))
+    training = session.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plain = Plain([t for _, t in rows], 3, 0)
+    model, counts = backoff_lm.train(training, **broadcast)
+    wanted = session.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = {r.doc_id: r for r in backoff_lm.score(wanted, model, counts).collect()}
+    assert model.total > 500_000 and len(got) == len(asked)
+    for i, t in enumerate(asked):
+        known = sum(plain.counts[1][(w,)] > 0 for w in tokens(t))
+        base = sum(math.log10(plain.base(w)) for w in tokens(t))
+        assert (got[i].n_known, got[i].base_score, got[i].score) == pytest.approx((known, base, plain.score(t)), rel=1e-6)
