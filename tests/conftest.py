@@ -25,9 +25,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df) -> list[tuple]:
-    """Collected rows as sorted tuples, NULLs first."""
-    key = lambda row: [(v is not None, str(v)) for v in row]
-    return sorted((tuple(r) for r in df.collect()), key=key)

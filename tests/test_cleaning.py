@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from matchlake import schemas as s
 from matchlake.operators import shaping

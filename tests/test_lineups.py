@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from matchlake import schemas as s
 from matchlake.operators import lineups as lu
