@@ -5,6 +5,7 @@ A vocabulary is named by its path: ``.json`` is read by tokenizers, ``.model`` b
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 from itertools import chain
@@ -16,6 +17,8 @@ from .packed import pack
 from .segments import SOLID_LAST, SOLID_NEXT, Memo, cuts
 
 CHUNK_BYTES = 1 << 16
+# fixed value: the words of the public CLIP vocabulary
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def vocabulary_path(name: str) -> str:
@@ -101,6 +104,47 @@ class Pieces:
         return ids, lengths, np.arange(len(segments))
 
 
+class Words:
+    """BPE with word ends over words that a pattern finds; white space is dropped, texts are composed (NFC) and lower-cased.
+
+    No word holds white space, a letter and a sign are never in one word, and neither composing nor lower-casing
+    looks across them, so a text may be cut before any blank, and behind ASCII letters and digits before a sign.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(b" " in token for token in self.special):
+            raise ValueError(f"{path}: a special string with a blank, texts cannot be cut before blanks")
+        self.memo = Memo(self._encode)
+
+    @staticmethod
+    def fits(tokenizer) -> bool:
+        """Whether a tokenizer is of this kind."""
+        form = json.loads(tokenizer.to_str())
+        normal = [n["type"] for n in (form["normalizer"] or {}).get("normalizers", [])]
+        before = (form["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        return (form["model"].get("end_of_word_suffix") is not None and normal == ["NFC", "Replace", "Lowercase"]
+                and form["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
+                and [b.get("type") for b in before] == ["Split", "ByteLevel"] and before[0]["pattern"] == {"Regex": WORD_PATTERN}
+                and before[0]["invert"] and before[0]["behavior"] == "Removed")
+
+    def spans(self, data, offsets):
+        raw = data.tobytes()
+        plain = not any(token in raw for token in self.special)
+        starts, first = cuts(data, offsets, None, None, behind_words=plain)
+        return starts, np.append(starts[1:], len(data)), first
+
+    def _encode(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast([s.decode() for s in segments], add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths, np.arange(len(segments))
+
+
 class WholeTexts:
     """Any other vocabulary: whole texts, no cuts."""
 
@@ -126,8 +170,9 @@ def encoder(path: str):
         return Pieces(path)
     from tokenizers import Tokenizer
 
-    kind = type(Tokenizer.from_file(path).pre_tokenizer).__name__
-    return ByteLevel(path) if kind == "ByteLevel" else WholeTexts(path)
+    given = Tokenizer.from_file(path)
+    kind = type(given.pre_tokenizer).__name__
+    return ByteLevel(path) if kind == "ByteLevel" else Words(path) if Words.fits(given) else WholeTexts(path)
 
 
 def encode_texts(texts: pa.Array, path: str):

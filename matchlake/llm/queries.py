@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import backoff_lm, chat_format, decontaminate, exact_dedup, language_id, mixing, ngram_join, token_counts, token_store, warc
+from . import backoff_lm, chat_format, decontaminate, exact_dedup, language_id, mixing, ngram_join, packing, token_counts, token_store, warc
 from .encoders import vocabulary_path
 from .scratch import read, stored
 
@@ -16,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE, BYTE_BPE_IDS = "byte_bpe_50k.json", 50257
 PIECES = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary_path(PIECES))
 
 
+def op13_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = packing.pack_sequences(read(spark, sf_dir, "documents"), vocabulary_path(WORD_BPE), end_id=2)
+    return packing.pieces(stored(sequences, "sequences"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_token_store, op2_ngram_jaccard_join, op3_language_id, op4_decontaminate, op5_mix_sources, op6_chat_format,
-    op7_backoff_lm, op8_exact_dedup, op9_warc, op10_token_counts)}
+    op7_backoff_lm, op8_exact_dedup, op9_warc, op10_token_counts, op13_bin_slack_packing)}

@@ -20,7 +20,7 @@ def test_query_matches_oracle(session, name):
 
 
 def test_all_are_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     assert all(any(q.startswith(n) for q in contract.queries()) for n in names)
     assert "pipeline" in contract.queries()
     assert set(ORACLES) <= set(contract.oracle_sql())

@@ -24,7 +24,7 @@ def reference(name):
     return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
-TEXTS = st.text(st.sampled_from("ab Z9.,'\n\t\r 　▁é日😀<|>/s"), max_size=40) | st.text(max_size=30)
+TEXTS = st.text(st.sampled_from("ab Z9'sΣ\u0338\u0301=.,'\n\t\r 　▁é日😀<|>/s"), max_size=40) | st.text(max_size=30)
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"])
