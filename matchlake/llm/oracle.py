@@ -5,7 +5,37 @@ from __future__ import annotations
 WORDS_ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
+
+
+def clusters_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Assignment and moved centroids of each round, one after the other."""
+    gap = "(k.x[i] - c.x[i])"
+    steps = [f"""kept AS (
+    SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = {dims}
+      AND NOT list_contains(list_transform(embedding, lambda c: c IS NULL OR NOT isfinite(c)), true)),
+c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, x FROM (
+    SELECT sha256('1:' || vec_id) AS h, x FROM kept ORDER BY h LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+    SELECT k.vec_id, any_value(k.x) AS x, min(struct_pack(
+        distance := list_sum(list_transform(range(1, {dims + 1}), lambda i: {gap} * {gap})), cluster := c.cluster)) AS near
+    FROM kept k CROSS JOIN c{r} c GROUP BY k.vec_id)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+    SELECT near.cluster AS cluster, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{r} CROSS JOIN range(1, {dims + 1}) t(i) GROUP BY 1, 2),
+c{r + 1} AS (
+    SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+        SELECT cluster, list((s - ((s % n + n) % n)) // n ORDER BY i) AS x FROM s{r} GROUP BY cluster) m USING (cluster))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT a.vec_id, CAST(near.cluster AS INTEGER) AS cluster, CAST(near.distance AS BIGINT) AS distance,
+    CAST(sum(near.distance) OVER (PARTITION BY near.cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(near.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.near.cluster"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_pivot_clusters": clusters_sql(),
     "op2_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {WORDS} AS w FROM documents),
 grams AS (

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import backoff_lm, chat_format, decontaminate, exact_dedup, language_id, mixing, ngram_join, packing, token_counts, token_store, warc
+from . import (backoff_lm, chat_format, decontaminate, exact_dedup, language_id, mixing, ngram_join, packing, pivot_clusters, token_counts,
+               token_store, warc, whitening)
 from .encoders import vocabulary_path
 from .scratch import read, stored
 
@@ -86,6 +87,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), vocabulary_path(PIECES))
 
 
+def op11_pivot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clusters.with_inertia(*pivot_clusters.cluster(read(spark, sf_dir, "embeddings")))
+
+
+def op12_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def op13_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = packing.pack_sequences(read(spark, sf_dir, "documents"), vocabulary_path(WORD_BPE), end_id=2)
     return packing.pieces(stored(sequences, "sequences"))
@@ -93,4 +102,5 @@ def op13_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_token_store, op2_ngram_jaccard_join, op3_language_id, op4_decontaminate, op5_mix_sources, op6_chat_format,
-    op7_backoff_lm, op8_exact_dedup, op9_warc, op10_token_counts, op13_bin_slack_packing)}
+    op7_backoff_lm, op8_exact_dedup, op9_warc, op10_token_counts, op11_pivot_clusters,
+    op12_block_whitening, op13_bin_slack_packing)}
