@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clock, lineups, matches
-from ..schemas import VALID_TO
+from ..schemas import TYPE_FOLDED, VALID_TO
 
 
 def in_scope(competitions: Iterable[int] | None = None, season: int | None = None,
@@ -38,8 +38,10 @@ def is_shootout_goal() -> Column:
     return (F.col("period") == 5) & (F.col("type") == "Shot") & (F.col("shot_outcome") == "Goal")
 
 
-def is_pass() -> Column:
-    return F.lower(F.col("type")) == "pass"
+def is_pass(events: DataFrame | None = None) -> Column:
+    """Pass in any case. Events that were stored with their folded type are compared by it, which the scan can do."""
+    folded = events is not None and TYPE_FOLDED in events.columns
+    return (F.col(TYPE_FOLDED) if folded else F.lower(F.col("type"))) == "pass"
 
 
 def is_timed_half_end() -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import VALID_TO
@@ -48,6 +49,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None) -> DataFrame:
+    """One row per key: the newest, or without an update time the one with the smallest row hash.
+
+    Without an update time, rows with a NULL in the key are nobody's: of these only equal rows become one.
+    """
+    if newest:
+        return latest_per_key(df, keys, newest)
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    named = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+    # NULL keys are dealt by their content too, so that they are no hot key
+    by = [*[F.col(f"`{k}`") for k in keys], F.when(~named, whole)]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(whole)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
 def close_versions(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
                    valid_to: datetime, restamp: bool = False) -> DataFrame:
     """Set the end time of the open versions whose key is incoming; NULL in a key equals NULL.
@@ -69,12 +85,11 @@ def upsert_versions(history: DataFrame | None, incoming: DataFrame, keys: Sequen
                     restamp: bool = False) -> DataFrame:
     """Close the open versions of the incoming keys and append the new versions.
 
-    ``newest`` names the update time by which a key delivered twice in one
-    batch is reduced to its latest row.
+    A key delivered twice in one batch opens one version (``one_per_key``); ``newest`` names
+    the update time by which it is chosen.
     """
     valid_from, valid_to = version_clock(now)
-    latest = latest_per_key(incoming, keys, newest) if newest else incoming
-    fresh = stamp_versions(latest, valid_from)
+    fresh = stamp_versions(one_per_key(incoming, keys, newest), valid_from)
     if history is None:
         return fresh
     closed = close_versions(history, incoming, keys, valid_to, restamp)

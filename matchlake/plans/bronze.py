@@ -16,7 +16,7 @@ from ..operators.lineups import flatten_lineups
 from ..operators.shaping import align, clean, cleaned_column, repair_names
 from ..session import scratch_path, tune
 from ..sources.tables import create_layer
-from ..sources.versions import history_exists, load_versions, read_history
+from ..sources.versions import history_exists, load_versions, watermarks
 
 
 @dataclass(frozen=True)
@@ -98,9 +98,10 @@ def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str
     tune(spark)
     create_layer(spark, layer)
 
-    def current(name: str, declared) -> DataFrame | None:
+    def marks(name: str, column: str) -> DataFrame | None:
+        """Newest update time of each season, as stored with the last commit."""
         table = f"{layer}.{name}"
-        return read_history(spark, table, declared).filter(filters.is_current()) if history_exists(spark, table) else None
+        return watermarks(spark, table, column, s.COMPETITION_KEY) if history_exists(spark, table) else None
 
     def staged(name: str, rows: DataFrame) -> DataFrame:
         path = scratch_path(spark, f"batch-{name}")
@@ -108,15 +109,15 @@ def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str
         return spark.read.schema(rows.schema).parquet(path)
 
     new_competitions = staged("competitions", pick_competitions(
-        sources.competitions, current("competitions", s.COMPETITIONS), competitions, season, min_season))
-    new_matches = staged("matches", pick_matches(sources.matches, current("matches", s.MATCHES), new_competitions))
+        sources.competitions, marks("competitions", "match_updated"), competitions, season, min_season))
+    new_matches = staged("matches", pick_matches(sources.matches, marks("matches", "last_updated"), new_competitions))
     new_events = staged("events", tag_seasons(pick_events(in_seasons(sources.events, new_matches), new_matches), new_matches))
     new_lineups = staged("lineups", pick_lineups(in_seasons(sources.lineups, new_matches), new_matches))
 
-    for name, rows, declared, keys, newest in (
-        ("events", new_events, s.EVENTS, s.EVENT_KEY, None),
-        ("lineups", new_lineups, s.LINEUPS, s.LINEUP_KEY, None),
-        ("matches", new_matches, s.MATCHES, s.MATCH_KEY, "last_updated"),
-        ("competitions", new_competitions, s.COMPETITIONS, s.COMPETITION_KEY, "match_updated"),
+    for name, rows, declared, keys, newest, cluster_by in (
+        ("events", new_events, s.EVENTS, s.EVENT_KEY, None, ["type", "match_id"]),
+        ("lineups", new_lineups, s.LINEUPS, s.LINEUP_KEY, None, s.MATCH_KEY),
+        ("matches", new_matches, s.MATCHES, s.MATCH_KEY, "last_updated", s.MATCH_KEY),
+        ("competitions", new_competitions, s.COMPETITIONS, s.COMPETITION_KEY, "match_updated", s.COMPETITION_KEY),
     ):
-        load_versions(spark, f"{layer}.{name}", rows, declared, keys, s.COMPETITION_KEY, now, newest)
+        load_versions(spark, f"{layer}.{name}", rows, declared, keys, s.COMPETITION_KEY, now, newest, cluster_by)

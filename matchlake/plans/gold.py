@@ -247,7 +247,7 @@ def combined_passes(events_grain: DataFrame, results: DataFrame,
         F.col("player_nickname").alias("pass_recipient_nickname"),
     )
     joined = (
-        events_grain.filter(filters.is_pass())
+        events_grain.filter(filters.is_pass(events_grain))
         .join(results.select(*team_keys, *RESULT_COLUMNS), team_keys, "left")
         .join(passer, "player_id", "left")
         .join(recipient, "pass_recipient_id", "left")

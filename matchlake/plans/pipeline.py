@@ -7,45 +7,73 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas as s
 from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
 from ..session import tune
+from ..sources import seasons
 from ..sources.tables import create_layer, rebuild, rebuild_view
+from ..sources.versions import SLICE, read_history
 from . import gold, silver
 from .bronze import Sources, run_bronze
 
-SILVER_SNAPSHOTS = ("competitions", "events", "lineups")
+HISTORIES = {"competitions": s.COMPETITIONS, "matches": s.MATCHES, "events": s.EVENTS, "lineups": s.LINEUPS}
+# histories whose changes reach a silver table
+FED_BY = {"lineups": ["lineups"], "matches": ["matches", "events"], "combined": ["competitions", "matches", "events"]}
 
 
 def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer: str = "silver",
-               views: Collection[str] = ("events",), broadcast_bytes: int = BROADCAST_BYTES) -> None:
-    """Rebuild silver. Snapshots named in ``views`` become views instead of copies, by default the largest.
-
-    The match grain (``competition_matches``) is stored once: the event-grain
-    table and the match-grain marts all start from it.
+               views: Collection[str] = ("competitions", "events"), broadcast_bytes: int = BROADCAST_BYTES,
+               whole: bool = False) -> set[str]:
+    """Bring silver up to date with bronze: only the seasons that changed since the last run are built.
+
+    Snapshots named in ``views`` become views instead of copies, by default the smallest and the largest. All other tables
+    are partitioned by season. The match grain (``competition_matches``) is stored once: the event-grain
+    table and the match-grain marts all start from it. Stored event-grain rows also carry their folded type and are sorted
+    by it. ``whole`` builds every season again. Returns the slices of ``combined`` that were built.
     """
     tune(spark)
     create_layer(spark, silver_layer)
+    now = seasons.newest_attempts(spark, bronze_layer, list(HISTORIES))
+    changed = None if whole else seasons.changed_slices(spark, silver_layer, now)
+
+    def slices(target: str) -> set[str]:
+        return set().union(*[(now if changed is None else changed)[h] for h in FED_BY[target]])
 
-    def bronze(name: str) -> DataFrame:
-        return spark.table(f"{bronze_layer}.{name}")
+    def history(name: str, chosen: set[str]) -> DataFrame:
+        return read_history(spark, f"{bronze_layer}.{name}", HISTORIES[name], chosen, tagged=name == "events")
 
-    for name in SILVER_SNAPSHOTS:
+    for name in ("competitions", "events", "lineups"):
         target = f"{silver_layer}.{name}"
         if name in views:
-            columns = ", ".join(f"`{c}`" for c in bronze(name).columns)
-            rebuild_view(spark, target, f"SELECT {columns} FROM {bronze_layer}.{name} "
-                                        f"WHERE {VALID_TO} IS NULL")
+            columns = ", ".join(f"`{c}`" for c in HISTORIES[name].names)
+            rebuild_view(spark, target, f"SELECT {columns} FROM {bronze_layer}.{name} WHERE {VALID_TO} IS NULL")
+        elif name == "events":
+            # events carry no season of their own: partitioned by the slice of their match
+            chosen = slices("combined") if changed is None else changed["events"]
+            if chosen:
+                seasons.replace_seasons(silver.snapshot(history(name, chosen)), target, ["type", "match_id"], [SLICE])
         else:
-            rebuild(silver.snapshot(bronze(name)), target)
-    rebuild(silver.silver_matches(bronze("matches"), bronze("events")), f"{silver_layer}.matches")
-
-    read = _reader(spark, silver_layer)
-    rebuild(silver.competition_matches(read("competitions"), read("matches")),
-            f"{silver_layer}.competition_matches")
-    grain = read("competition_matches")
-    rebuild(silver.combined(grain, read("events"), strategy_for(grain, broadcast_bytes)),
-            f"{silver_layer}.combined")
+            chosen = set(now[name]) if changed is None else changed[name]
+            if chosen:
+                seasons.replace_seasons(silver.snapshot(history(name, chosen)), target, ["match_id"] if name == "lineups" else [])
+
+    chosen = slices("matches")
+    if chosen:
+        matches = silver.silver_matches(history("matches", chosen), history("events", chosen))
+        seasons.replace_seasons(matches, f"{silver_layer}.matches", ["match_id"])
+    chosen = slices("combined")
+    if chosen:
+        read = _reader(spark, silver_layer)
+        parents = silver.snapshot(history("competitions", chosen))
+        seasons.replace_seasons(silver.competition_matches(parents, seasons.of_slices(read("matches"), chosen)),
+                                f"{silver_layer}.competition_matches", ["match_id"])
+        grain = seasons.of_slices(read("competition_matches"), chosen)
+        events = silver.snapshot(history("events", chosen))
+        built = silver.combined(grain, events, strategy_for(grain, broadcast_bytes))
+        seasons.replace_seasons(silver.with_folded_type(built), f"{silver_layer}.combined", s.COMBINED_CLUSTER)
+    seasons.note_built(spark, silver_layer, now)
+    return chosen
 
 
 def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",

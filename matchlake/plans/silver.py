@@ -107,6 +107,11 @@ def combined(match_grain: DataFrame, events: DataFrame, strategy: str | None = N
     return attach_detail(match_grain, details, s.MATCH_KEY, strategy)
 
 
+def with_folded_type(events: DataFrame) -> DataFrame:
+    """Events with their type in lower case, which Parquet can compare with a value where it cannot fold."""
+    return events.withColumn(s.TYPE_FOLDED, F.lower("type"))
+
+
 def earlier_combined(competitions: DataFrame, matches: DataFrame,
                      events: DataFrame | None = None) -> DataFrame:
     """Earlier silver design: all columns but the 360 ones, each name once.

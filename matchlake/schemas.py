@@ -214,6 +214,9 @@ COMBINED_EVENT_COLUMNS = [
 ]
 
 COMPETITION_KEY = ["competition_id", "season_id"]
+# beside the declared columns of stored event-grain rows: the type in lower case, by which they are sorted
+TYPE_FOLDED = "type_folded"
+COMBINED_CLUSTER = [TYPE_FOLDED, "match_id"]
 MATCH_KEY = ["match_id"]
 EVENT_KEY = ["id"]
 LINEUP_KEY = ["match_id", "player_id"]
