@@ -1,6 +1,7 @@
 """Exact Jaccard self-join of the word n-gram sets of documents, by set relations.
 
-1.  Equal sets are one: only the smallest doc_id of each set goes on.
+1.  Equal sets are one node, named by a number of its own: neither repeated nor missing doc_ids can confuse two sets.
+    Of the texts of a node one is moved, found again by its doc_id and hash.
 2.  A set is indexed under its prefix, the elements of which two linked sets share at least one. Elements are ordered
     by how many sets may hold them, rarest first, so that passages shared by many documents come last.
     The order rests on a table of ``SKETCH`` counters; any order gives the same links.
@@ -12,9 +13,12 @@
     was answered before: only the lists of the elements in which the two differ are read. Sets that are already connected
     are not compared again, as that cannot change the classes.
 
+Elements are 64-bit hashes of n-grams and sets are told apart by 128 bits: links are exact up to collisions of these.
+
 Edge cases: null text, and text without words, has an empty set and is linked with nothing; fewer than ``words`` words are one
-n-gram; a null doc_id has no class of its own (component_id is the smallest id linked to its text, null if there is none); rows with
-the same doc_id count as one node; an empty table gives an empty result; other columns are ignored.
+n-gram; a null doc_id has no class of its own (component_id is the smallest id linked to its text, null if there is none), but its text
+links others like any; rows with the same doc_id have the links of all their texts; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -79,12 +83,11 @@ def element_counts(documents: DataFrame, n: int, batch_bytes: int) -> np.ndarray
         return total
 
     # only the order of the classes matters: fine steps of the logarithm keep it, in a quarter of the bytes
-    counts = summed(documents.select("text"), count, SKETCH)
-    return np.minimum(np.log2(counts + 1.0) * 1024, 65_535).astype(np.uint16)
+    return summed(documents.select("text"), count, SKETCH, lambda c: np.minimum(np.log2(c + 1.0) * 1024, 65_535).astype(np.uint16))
 
 
 def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> DataFrame:
-    """doc_id, size, d1 and d2 (a 128-bit digest of the set), parity, prefix: one row per row of (doc_id, text)."""
+    """doc_id, text_hash, size, d1 and d2 (a 128-bit digest of the set), parity, prefix: one row per row of (doc_id, text)."""
     counts = documents.sparkSession.sparkContext.broadcast(element_counts(documents, n, batch_bytes))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +107,30 @@ def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> D
                 flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
                 digest = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int64()), digest(first), digest(second), pa.array(parity, pa.binary()),
-                     pa.ListArray.from_arrays(stops, pa.array(flat))], ["doc_id", "size", "d1", "d2", "parity", "prefix"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()), digest(first), digest(second), pa.array(parity, pa.binary()),
+                     pa.ListArray.from_arrays(stops, pa.array(flat))], ["doc_id", "text_hash", "size", "d1", "d2", "parity", "prefix"])
+
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    shape = "doc_id long, text_hash long, size long, d1 long, d2 long, parity binary, prefix array<long>"
+    built = stored(rows.mapInArrow(build, shape), "sets")
+    counts.destroy()
+    return built
+
+
+def text_hash() -> Column:
+    return F.xxhash64("text")
+
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(build, "doc_id long, size long, d1 long, d2 long, parity binary, prefix array<long>"), "sets")
+def node_table(sets: DataFrame) -> DataFrame:
+    """d1, d2, node, size, parity, prefix, least_id and first of each distinct set: ``first`` says which text stands for it.
+
+    Equal sets are combined on each task first. Numbers are unique and fixed, as the table is written once.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    distinct = sets.filter("size > 0").groupBy("d1", "d2").agg(
+        F.min(place).alias("first"), F.min("doc_id").alias("least_id"), F.first("size").alias("size"),
+        F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    return stored(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
 def may_link(group: pa.Table, percent: int) -> np.ndarray:
@@ -136,31 +158,27 @@ def in_blocks(members: DataFrame, weight, block: int) -> DataFrame:
         *members.columns, "side", F.least("side", "other").alias("left"), F.greatest("side", "other").alias("right"))
 
 
-def plausible_members(sets: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
+def plausible_members(nodes: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
     """The members that may be linked within the group of their hub; only their sets are moved."""
-    sketches = sets.filter("size > 0").select(F.col("doc_id").alias("node"), "size", "parity").dropDuplicates(["node", "size", "parity"])
-    dealt = in_blocks(stored(members.select("hub", "node").distinct(), "members"), F.lit(1), block)
+    dealt = in_blocks(stored(members, "members"), F.lit(1), block)
 
     def keep(group: pa.Table) -> pa.Table:
         return group.select(["hub", "node", "size"]).filter(pa.array(may_link(group, percent)))
 
-    found = sketches.join(dealt, "node").groupBy("hub", "left", "right").applyInArrow(keep, "hub long, node long, size long")
+    found = nodes.select("node", "size", "parity").join(dealt, "node").groupBy("hub", "left", "right").applyInArrow(keep, "hub long, node long, size long")
     return found.groupBy("hub", "node").agg(F.max("size").alias("size"))
 
 
-def hub_members(sets: DataFrame, percent: int) -> DataFrame:
-    """hub, node, size: every two nodes that share an index list and may link by size have a hub in common."""
-    reps = sets.filter("size > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
-    one = sets.join(reps, ["d1", "d2"]).filter("doc_id = node").select("node", "size", "prefix")
-    lists = one.select("node", "size", F.explode("prefix").alias("element"))
-    shared = lists.groupBy("element").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("element")
+def hub_members(nodes: DataFrame, percent: int) -> DataFrame:
+    """hub, node: every two nodes that share an index list and may link by size have a hub in common."""
     # size classes by the factor within which sets can link, a trifle wider against rounding
-    base = math.log(100 / percent) + 1e-9
-    level = F.floor(F.log("size") / base)
-    entries = stored(lists.join(shared, "element", "left_semi").select(
-        "element", "node", "size", F.explode(F.array(level, level + 1)).alias("level")), "lists")
+    level = F.floor(F.log("size") / (math.log(100 / percent) + 1e-9)).cast("int").alias("level")
+    lists = nodes.select("node", level, F.explode("prefix").alias("element"))
+    shared = lists.groupBy("element").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("element")
+    kept = stored(lists.join(shared, "element", "left_semi"), "lists")
+    entries = kept.select("element", "node", F.explode(F.array("level", F.col("level") + 1)).alias("level"))
     hubs = entries.groupBy("element", "level").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top")
-    return entries.join(hubs, ["element", "level"]).select("hub", "node", "size").distinct()
+    return entries.join(hubs.drop("top"), ["element", "level"]).select("hub", "node").distinct()
 
 
 class IndexBlock:
@@ -309,7 +327,7 @@ def _linker(percent: int):
     return run
 
 
-def link_edges(documents: DataFrame, members: DataFrame, n: int, percent: int, block: int, batch_bytes: int) -> DataFrame:
+def link_edges(documents: DataFrame, nodes: DataFrame, members: DataFrame, n: int, percent: int, block: int, batch_bytes: int) -> DataFrame:
     """Edges (a, b) between nodes that connect all linked sets."""
     dealt = in_blocks(stored(members, "plausible"), F.col("size"), block).drop("size")
 
@@ -321,24 +339,64 @@ def link_edges(documents: DataFrame, members: DataFrame, n: int, percent: int, b
                     [*(part.column(c) for c in ("hub", "node", "side", "left", "right")), raw],
                     ["hub", "node", "side", "left", "right", "elements"])
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("node"), "text")
-    with_text = texts.join(dealt, "node").select("hub", "node", "side", "left", "right", "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    # equal texts without an id are one before they are moved
+    nameless = texts.filter("doc_id is null").groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    of_node = dealt.join(nodes.select("node", "first"), "node").select(
+        *dealt.columns, F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    with_text = texts.filter("doc_id is not null").unionAll(nameless).join(of_node, same).select("hub", "node", "side", "left", "right", "text")
     with_sets = with_text.mapInArrow(sets, "hub long, node long, side int, left int, right int, elements binary")
     return with_sets.groupBy("hub", "left", "right").applyInArrow(_linker(percent), "a long, b long")
 
 
+def classed_rows(documents: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000, batch_bytes: int = 4 << 20) -> DataFrame:
+    """doc_id, text_hash, size, component_id, keeper of each row of (doc_id, text).
+
+    Rows without words have component_id doc_id and no keeper. ``keeper`` is the place (nameless, doc_id, text_hash) of the text that comes
+    first in the class: of those with the smallest doc_id the one with the smallest hash.
+    """
+    sets = set_table(documents, n, percent, batch_bytes)
+    nodes = node_table(sets)
+    members = plausible_members(nodes, hub_members(nodes, percent), percent, max(2, block // 500))
+    edges = link_edges(documents, nodes, members, n, percent, block, batch_bytes)
+    rows = sets.select("doc_id", "text_hash", "size", "d1", "d2").join(nodes.select("d1", "d2", "node"), ["d1", "d2"], "left").drop("d1", "d2")
+    # texts under one id belong together
+    ids = rows.filter("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
+    several = rows.join(ids.select("doc_id", "a"), "doc_id").filter("node > a").select("a", F.col("node").alias("b"))
+    labels = components(edges.unionAll(several))
+    labelled = nodes.select("node", "least_id", "first").join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    named = labelled.groupBy("class").agg(F.min("least_id").alias("component_id"), F.min("first").alias("keeper"))
+    per_node = labelled.select("node", "class").join(named, "class").drop("class")
+    return rows.join(per_node, "node", "left").select(
+        "doc_id", "text_hash", "size", F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "keeper")
+
+
 def ngram_classes(documents: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000,
                   batch_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of (doc_id, text).
 
     Two documents link when 100 * intersection >= percent * union of their sets of word n-grams.
     """
-    sets = set_table(documents, n, percent, batch_bytes)
-    members = plausible_members(sets, hub_members(sets, percent), percent, max(2, block // 500))
-    edges = link_edges(documents, members, n, percent, block, batch_bytes)
-    labels = components(edges)
-    same_set = sets.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
-    named = same_set.join(labels, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
-    return sets.join(named, ["d1", "d2"]).select(
-        "doc_id", F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return classed_rows(documents, n, percent, block, batch_bytes).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
+def without_near_copies(documents: DataFrame, n: int = 5, percent: int = 80, block: int = 1_000_000, batch_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of a table with doc_id and text, whatever its other columns, of which one stays in every class.
+
+    It is the one whose text comes first (``classed_rows``). Rows without words stay, each of them. A row is dropped for its own text, never
+    because its doc_id occurs again. Of rows with the same id and text the one with the smallest row hash stays.
+    """
+    classes = stored(classed_rows(documents, n, percent, block, batch_bytes), "classes")
+    worded = classes.filter("keeper is not null").select("doc_id", "text_hash", F.col("keeper.doc_id").alias("kept_id"), F.col("keeper.text_hash").alias("kept_hash"))
+    kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    place = [F.col("doc_id").alias("place#id"), F.col("text_hash").alias("place#hash")]
+    gone = worded.filter(~kept).select(*place).distinct()
+    again = worded.filter(kept).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*place)
+    here = F.col("doc_id").cast("long").eqNullSafe(F.col("place#id")) & (text_hash() == F.col("place#hash"))
+    rest = documents.join(gone, here, "left_anti")
+    names = [f"`{c}`" for c in documents.columns]
+    # of repeated rows each task keeps one before they are dealt
+    order = Window.partitionBy(F.col("doc_id"), text_hash()).orderBy(F.xxhash64(*[F.col(c) for c in names]))
+    doubled = rest.join(again, here, "left_semi").withColumn("place#rank", F.row_number().over(order)).filter(F.col("`place#rank`") == 1).select(*names)
+    return rest.join(again, here, "left_anti").unionAll(doubled)

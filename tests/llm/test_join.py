@@ -46,6 +46,20 @@ def brute(rows, n, percent):
     return sorted(map(str, ((d, len(sets[i]), least.get(root(ids[i])) if sets[i] else d) for i, (d, _) in enumerate(rows))))
 
 
+def row_classes(rows, n, percent):
+    """Lists of the numbers of rows that are linked, directly, by others, or by their doc_id; a row without words is alone."""
+    sets = [shingles(t, n) for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            same = rows[a][0] is not None and rows[a][0] == rows[b][0]
+            if x and y and (same or 100 * len(x & y) >= percent * len(x | y)) and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if v == old else v for v in label]
+    return [[i for i, v in enumerate(label) if v == c] for c in sorted(set(label))]
+
+
 @pytest.mark.parametrize("which", ["odd_documents", "documents", "no_documents"])
 @pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
 def test_classes(which, n, percent, request):
