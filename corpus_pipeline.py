@@ -1,14 +1,14 @@
 """The corpus pipeline: documents to token shards, in five stages.
 
 1. language ID: documents without a language go (null text, or no letter in it)
-2. n-gram Jaccard join: of each class of near copies the document with the smallest doc_id stays
+2. n-gram Jaccard join: of each class of near copies the document with the smallest doc_id stays (of its texts the one with the smallest hash)
 3. benchmark decontamination: documents that hold a window of a benchmark item go
 4. mixing: documents are left out or repeated until every source has its share of words
 5. token output: the documents are written as Re-Pair compressed token shards and listed with their positions
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of docs; columns beyond those of documents are kept.
 Nulls, empty and very long texts, repeated rows and empty tables are handled as the operators say. In stage 2
-a document without words is its own class, rows without doc_id stay, and of rows with the same doc_id one stays.
+rows without words stay, and a row is dropped for its own text, never because its doc_id occurs again or is missing.
 """
 
 from __future__ import annotations
@@ -35,14 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: five words, similarity 0.8."""
     prepare(spark)
-    classes = ngram_join.ngram_classes(docs, n=5, percent=80)
-    gone = classes.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone#id")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("gone#id"), "left_anti")
-    # rows that repeat a doc_id are few; only they are compared among themselves
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again#id"))
-    again = F.col("doc_id") == F.col("again#id")
-    return rest.join(repeated, again, "left_anti").unionAll(
-        rest.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))
+    return ngram_join.without_near_copies(docs, n=5, percent=80)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
