@@ -15,6 +15,7 @@ from matchlake.operators.lineups import flatten_lineups
 from matchlake.operators.shaping import align, naive, version_clock
 from matchlake.plans import gold, silver
 from matchlake.session import scratch_path
+from matchlake.sources.seasons import arranged
 
 from . import columns as c
 
@@ -62,6 +63,25 @@ def stored(build):
     return frame
 
 
+def layered(cluster_by: list[str], season: list[str]):
+    """Like ``stored``, laid out as silver does it: partitioned by season, sorted inside."""
+    def wrap(build):
+        @cached_property
+        def frame(self) -> DataFrame:
+            key = (self.spark.sparkContext.applicationId, self.sf_dir, build.__name__)
+            df = build(self)
+            if key not in _STORED:
+                path = scratch_path(self.spark, build.__name__)
+                arranged(df, cluster_by, season).write.partitionBy(*season).parquet(path)
+                _STORED[key] = path
+            # partition values are read as declared, not as their text suggests
+            return self.spark.read.schema(df.schema).parquet(_STORED[key])
+
+        return frame
+
+    return wrap
+
+
 class Bridge:
     """Source frames and layers over one folder of driver tables."""
 
@@ -216,9 +236,14 @@ class Bridge:
     def match_grain(self) -> DataFrame:
         return silver.competition_matches(self.competitions, self.silver_matches)
 
-    @stored
+    @layered(s.COMBINED_CLUSTER, s.COMPETITION_KEY)
     def combined(self) -> DataFrame:
-        return silver.combined(self.match_grain, self.events, strategy_for(self.match_grain))
+        return silver.with_folded_type(silver.combined(self.match_grain, self.events, strategy_for(self.match_grain)))
+
+    @layered(["type", "match_id"], [])
+    def events_by_type(self) -> DataFrame:
+        """Events as the history stores them: sorted by type."""
+        return self.events
 
     @stored
     def players(self) -> DataFrame:
@@ -230,7 +255,7 @@ class Bridge:
 
     @stored
     def durations(self) -> DataFrame:
-        return gold.match_duration_lookup(self.events)
+        return gold.match_duration_lookup(self.events_by_type)
 
     @stored
     def results(self) -> DataFrame:

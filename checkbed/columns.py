@@ -106,7 +106,7 @@ def player_text(number: str) -> str:
 
 EVENT = {
     "id": "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
-          "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)",
+          "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(l_quantity AS BIGINT) AS STRING)",
     "period": "CAST(l_linenumber % 5 + 1 AS BIGINT)",
     "timestamp": "'00:' || LPAD(CAST(l_partkey % 45 AS STRING), 2, '0') || ':' || "
                  "LPAD(CAST(l_suppkey % 60 AS STRING), 2, '0') || '.000'",

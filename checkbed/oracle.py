@@ -34,20 +34,19 @@ def shaped(rules: dict[str, str], shape: T.StructType) -> str:
     )
 
 
-# The stage table of matchlake.functions.matches, as patterns.
+# Stage ranks and their case-folded patterns, first hit first.
 STAGE_RANK = """CAST(CASE
-    WHEN st IS NULL THEN 99
-    WHEN regexp_matches(st, 'regular.*season|league') THEN 0
-    WHEN contains(st, 'group') THEN 1
-    WHEN regexp_matches(st, 'play-in|qualif') THEN 2
-    WHEN regexp_matches(st, '128|1st.*round|2nd.*round') THEN 3
-    WHEN regexp_matches(st, '64|32nd.*final|3rd.*round|4th.*round') THEN 4
-    WHEN regexp_matches(st, '32|16th.*final') THEN 5
-    WHEN regexp_matches(st, '16|8th.*final') THEN 6
-    WHEN regexp_matches(st, 'quarter|qtr') THEN 7
-    WHEN contains(st, 'semi') THEN 8
-    WHEN regexp_matches(st, '3rd|third') THEN 9
-    WHEN contains(st, 'final') THEN 10
+    WHEN st LIKE '%regular%season%' OR st LIKE '%league%' THEN 0
+    WHEN st LIKE '%group%' THEN 1
+    WHEN st LIKE '%play-in%' OR st LIKE '%qualif%' THEN 2
+    WHEN st LIKE '%128%' OR st LIKE '%1st%round%' OR st LIKE '%2nd%round%' THEN 3
+    WHEN st LIKE '%64%' OR st LIKE '%32nd%final%' OR st LIKE '%3rd%round%' OR st LIKE '%4th%round%' THEN 4
+    WHEN st LIKE '%32%' OR st LIKE '%16th%final%' THEN 5
+    WHEN st LIKE '%16%' OR st LIKE '%8th%final%' THEN 6
+    WHEN st LIKE '%quarter%' OR st LIKE '%qtr%' THEN 7
+    WHEN st LIKE '%semi%' THEN 8
+    WHEN st LIKE '%3rd%' OR st LIKE '%third%' THEN 9
+    WHEN st LIKE '%final%' THEN 10
     ELSE 99 END AS INTEGER)"""
 
 _MATCH_COLS = [n for n in s.MATCHES_SOURCE.names]

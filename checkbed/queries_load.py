@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -390,10 +392,8 @@ def stored_null_keys(b: Bridge) -> DataFrame:
     return versions.read_history(b.spark, table, _CHANGES)
 
 
-def stored_after_half_commit(b: Bridge) -> DataFrame:
-    """A second load that stops before its commit, is read over, and is then run again."""
-    table = versioned_table(b)
-    batch = b.first_batch.filter("match_id % 5 = 0").withColumn("status", F.lit("U"))
+def stopped_load(b: Bridge, table: str, batch: DataFrame) -> None:
+    """A load that ends with an error where it would commit."""
     commit = versions.commit
 
     def stop(*_) -> None:
@@ -406,10 +406,65 @@ def stored_after_half_commit(b: Bridge) -> DataFrame:
         pass
     finally:
         versions.commit = commit
+
+
+def stored_after_half_commit(b: Bridge) -> DataFrame:
+    """A second load that stops before its commit, is read over, and is then run again."""
+    table = versioned_table(b)
+    batch = b.first_batch.filter("match_id % 5 = 0").withColumn("status", F.lit("U"))
+    stopped_load(b, table, batch)
     versions.load_versions(b.spark, table, batch, _CHANGES, ["match_id"], _SCOPE, SECOND_LOAD)
     return b.spark.table(table)
 
 
+def stored_marks(b: Bridge) -> DataFrame:
+    """Watermarks kept with the commits of two loads; a third load stopped before its commit."""
+    table = versioned_table(b)
+    batch = b.scratch("batch")
+    newer(b).write.parquet(batch)
+    versions.load_versions(b.spark, table, b.spark.read.parquet(batch), _CHANGES, ["match_id"], _SCOPE, SECOND_LOAD, "last_updated")
+    late = b.first_batch.filter("match_id % 5 = 0").withColumn("last_updated", F.expr("last_updated + INTERVAL '9000' DAY"))
+    stopped_load(b, table, late)
+    return versions.watermarks(b.spark, table, "last_updated", _SCOPE)
+
+
+def doubled_keys(b: Bridge) -> DataFrame:
+    """Open versions after two loads without an update time, in which a third of the keys is sent up to three times."""
+    table = f"{b.scratch_schema()}.changes"
+    twice = b.first_batch.unionByName(b.first_batch.filter("match_id % 3 = 0")).unionByName(
+        b.first_batch.filter("match_id % 6 = 0").withColumn("status", F.lit("other")))
+    for now in (FIRST_LOAD, SECOND_LOAD):
+        versions.load_versions(b.spark, table, twice, _CHANGES, ["match_id"], _SCOPE, now)
+    return b.spark.table(table).groupBy("match_id", "data_valid_from_utc", "data_valid_to_utc").agg(F.count(F.lit(1)).alias("versions"))
+
+
+def many_loads(b: Bridge) -> DataFrame:
+    """Six loads of a fifth of the keys after the first: partitions that are left, and versions by end time."""
+    table = versioned_table(b)
+    for i in range(1, 7):
+        batch = b.first_batch.filter("match_id % 5 = 0").withColumn("status", F.lit(f"U{i}"))
+        versions.load_versions(b.spark, table, batch, _CHANGES, ["match_id"], _SCOPE, SECOND_LOAD + timedelta(days=i), "last_updated")
+    open_parts = b.spark.table(f"{table}_rows").filter("data_valid_to_utc IS NULL").select("slice", "attempt").distinct().groupBy().agg(
+        (F.count(F.lit(1)) - F.count_distinct("slice")).alias("superseded_slices"))
+    counts = b.spark.table(table).groupBy("status", "data_valid_to_utc").agg(F.count(F.lit(1)).alias("versions"))
+    return counts.withColumn("superseded_slices", open_parts.scalar())
+
+
+check("D1_watermark_stored", stored_marks,
+      """SELECT competition_id, season_id, max(last_updated) AS last_updated FROM upserted
+        WHERE data_valid_to_utc IS NULL GROUP BY ALL""")
+check("D6_doubled_keys", doubled_keys,
+      """SELECT match_id, TIMESTAMP '2024-02-01 00:00:00' AS data_valid_from_utc,
+            TIMESTAMP '2024-02-29 23:59:59.999' AS data_valid_to_utc, CAST(1 AS BIGINT) AS versions FROM first_batch
+        UNION ALL SELECT match_id, TIMESTAMP '2024-03-01 00:00:00', NULL, 1 FROM first_batch""")
+check("D6_many_loads", many_loads,
+      """WITH loads AS (SELECT i, CASE WHEN i < 6 THEN TIMESTAMP '2024-03-01 00:00:00' + to_days(CAST(i + 1 AS INTEGER)) - INTERVAL '1' MILLISECOND END AS ended
+            FROM range(0, 7) t(i)),
+        rows AS (SELECT status, 0 AS i FROM first_batch WHERE match_id % 5 = 0 UNION ALL
+            SELECT 'U' || i, i FROM first_batch, range(1, 7) t(i) WHERE match_id % 5 = 0)
+        SELECT status, ended AS data_valid_to_utc, count(*) AS versions, CAST(0 AS BIGINT) AS superseded_slices FROM (
+            SELECT status, ended FROM rows JOIN loads USING (i) UNION ALL SELECT status, NULL FROM first_batch WHERE match_id % 5 <> 0)
+        GROUP BY ALL""")
 check("D1_watermark_per_scope", lambda b: history.watermark(b.loaded, "last_updated", _SCOPE),
       "SELECT competition_id, season_id, watermark FROM marks")
 check("D1_watermark_global", lambda b: history.watermark(b.loaded, "last_updated"),

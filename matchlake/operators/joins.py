@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str],
-                  strategy: str | None = None) -> DataFrame:
+                  strategy: str | None = None, lonely_if: Column | None = None) -> DataFrame:
     """Left join that keeps every parent, for details far larger than the parents.
 
     The matching part is an inner join with the details on the left: parents
@@ -25,14 +25,14 @@ def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str],
     parents without details come from an anti join on the distinct keys, which
     reads only the key columns and combines them before the shuffle.
 
-    ``strategy`` is a join hint for the parents of the matching part. Both
-    sides must have distinct column names apart from ``on``.
+    ``strategy`` is a join hint for the parents of the matching part. Parents for which ``lonely_if``
+    does not hold are not kept when they find no details. Both sides must have distinct column names apart from ``on``.
     """
     on = list(on)
     extra = [name for name in details.columns if name not in on]
     build = parents.hint(strategy) if strategy else parents
     matched = details.join(build, on, "inner").select(*_cols(parents.columns + extra))
-    lonely = parents.join(details.select(*on).distinct(), on, "left_anti")
+    lonely = (parents if lonely_if is None else parents.filter(lonely_if)).join(details.select(*on).distinct(), on, "left_anti")
     types = dict(details.dtypes)
     padded = lonely.selectExpr(
         *_cols(parents.columns), *[f"CAST(NULL AS {types[name]}) AS `{name}`" for name in extra]

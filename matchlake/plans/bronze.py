@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as s
@@ -74,16 +75,24 @@ def _of_parents(source: DataFrame, declared, parents: DataFrame, keys: list[str]
 
 
 def in_seasons(source: DataFrame, matches: DataFrame) -> DataFrame:
-    """Restrict a source that is laid out by competition and season to the seasons of the matches.
+    """Restrict a source that carries competition and season to the seasons of the matches.
 
-    One row per season reaches the driver; the literals prune the partitions of the source.
+    The pairs, one row per season, are broadcast to the scan and not collected. Where the source is partitioned by them,
+    Spark prunes its partitions by the pairs while it runs.
     """
     if not set(s.COMPETITION_KEY) <= set(source.columns):
         return source
-    seasons = matches.select(*s.COMPETITION_KEY).distinct().collect()
-    for i, key in enumerate(s.COMPETITION_KEY):
-        source = source.filter(cleaned_column(source, key, s.MATCHES).isin(sorted({r[i] for r in seasons if r[i] is not None})))
-    return source
+    # every id passes this filter: Spark prunes by a join only behind one that it takes for selective
+    listed = reduce(Column.__and__, [F.col(k) >= F.lit(-(1 << 63)) for k in s.COMPETITION_KEY])
+    # one key of both columns, as Spark prunes by each key for itself
+    pairs = matches.filter(listed).select(_pair(*[F.col(k) for k in s.COMPETITION_KEY]).alias("season.pair")).distinct()
+    here = _pair(*[cleaned_column(source, k, s.MATCHES) for k in s.COMPETITION_KEY])
+    return source.join(F.broadcast(pairs), here == F.col("`season.pair`"), "left_semi")
+
+
+def _pair(*ids: Column) -> Column:
+    """Both ids in one text, NULL if one is missing."""
+    return F.concat(ids[0].cast("string"), F.lit("-"), ids[1].cast("string"))
 
 
 def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str = "bronze",
@@ -114,10 +123,10 @@ def run_bronze(spark: SparkSession, sources: Sources, now: datetime, layer: str
     new_events = staged("events", tag_seasons(pick_events(in_seasons(sources.events, new_matches), new_matches), new_matches))
     new_lineups = staged("lineups", pick_lineups(in_seasons(sources.lineups, new_matches), new_matches))
 
-    for name, rows, declared, keys, newest, cluster_by in (
-        ("events", new_events, s.EVENTS, s.EVENT_KEY, None, ["type", "match_id"]),
-        ("lineups", new_lineups, s.LINEUPS, s.LINEUP_KEY, None, s.MATCH_KEY),
-        ("matches", new_matches, s.MATCHES, s.MATCH_KEY, "last_updated", s.MATCH_KEY),
-        ("competitions", new_competitions, s.COMPETITIONS, s.COMPETITION_KEY, "match_updated", s.COMPETITION_KEY),
+    for name, rows, declared, keys, newest, cluster_by, looked_up in (
+        ("events", new_events, s.EVENTS, s.EVENT_KEY, None, ["type", "match_id"], ["id", "match_id"]),
+        ("lineups", new_lineups, s.LINEUPS, s.LINEUP_KEY, None, s.MATCH_KEY, ["player_id"]),
+        ("matches", new_matches, s.MATCHES, s.MATCH_KEY, "last_updated", s.MATCH_KEY, []),
+        ("competitions", new_competitions, s.COMPETITIONS, s.COMPETITION_KEY, "match_updated", s.COMPETITION_KEY, []),
     ):
-        load_versions(spark, f"{layer}.{name}", rows, declared, keys, s.COMPETITION_KEY, now, newest, cluster_by)
+        load_versions(spark, f"{layer}.{name}", rows, declared, keys, s.COMPETITION_KEY, now, newest, cluster_by, looked_up)

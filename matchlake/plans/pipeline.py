@@ -11,7 +11,7 @@ from .. import schemas as s
 from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
 from ..session import tune
-from ..sources import seasons
+from ..sources import dealt, seasons
 from ..sources.tables import create_layer, rebuild, rebuild_view
 from ..sources.versions import SLICE, read_history
 from . import gold, silver
@@ -24,16 +24,22 @@ FED_BY = {"lineups": ["lineups"], "matches": ["matches", "events"], "combined":
 
 def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer: str = "silver",
                views: Collection[str] = ("competitions", "events"), broadcast_bytes: int = BROADCAST_BYTES,
-               whole: bool = False) -> set[str]:
+               whole: bool = False, buckets: int | None = None, rows_per_part: int = 2_000_000) -> set[str]:
     """Bring silver up to date with bronze: only the seasons that changed since the last run are built.
 
     Snapshots named in ``views`` become views instead of copies, by default the smallest and the largest. All other tables
     are partitioned by season. The match grain (``competition_matches``) is stored once: the event-grain
     table and the match-grain marts all start from it. Stored event-grain rows also carry their folded type and are sorted
     by it. ``whole`` builds every season again. Returns the slices of ``combined`` that were built.
+
+    With ``buckets`` events are copied, dealt into that many buckets by match, as is the match grain, so that joining them needs no
+    exchange when the grain is too large to broadcast. Matches beyond ``rows_per_part`` events are split over buckets.
     """
+    if buckets:
+        views = [v for v in views if v != "events"]
     tune(spark)
     create_layer(spark, silver_layer)
+    by_match = (buckets, dealt.DEALT_BY) if buckets else None
     now = seasons.newest_attempts(spark, bronze_layer, list(HISTORIES))
     changed = None if whole else seasons.changed_slices(spark, silver_layer, now)
 
@@ -52,7 +58,10 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
             # events carry no season of their own: partitioned by the slice of their match
             chosen = slices("combined") if changed is None else changed["events"]
             if chosen:
-                seasons.replace_seasons(silver.snapshot(history(name, chosen)), target, ["type", "match_id"], [SLICE])
+                snapshot = silver.snapshot(history(name, chosen))
+                if buckets:
+                    snapshot = dealt.in_parts(snapshot, rows_per_part, s.EVENT_KEY)
+                seasons.replace_seasons(snapshot, target, ["type", "match_id"], [SLICE], by_match)
         else:
             chosen = set(now[name]) if changed is None else changed[name]
             if chosen:
@@ -69,8 +78,13 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
         seasons.replace_seasons(silver.competition_matches(parents, seasons.of_slices(read("matches"), chosen)),
                                 f"{silver_layer}.competition_matches", ["match_id"])
         grain = seasons.of_slices(read("competition_matches"), chosen)
-        events = silver.snapshot(history("events", chosen))
-        built = silver.combined(grain, events, strategy_for(grain, broadcast_bytes))
+        strategy = strategy_for(grain, broadcast_bytes)
+        if buckets:
+            events = seasons.of_slices(read("events"), chosen, [SLICE])
+            seasons.replace_seasons(dealt.for_each_part(grain, events), f"{silver_layer}.dealt_matches", buckets=by_match)
+            built = silver.combined_in_parts(seasons.of_slices(read("dealt_matches"), chosen), events, strategy)
+        else:
+            built = silver.combined(grain, silver.snapshot(history("events", chosen)), strategy)
         seasons.replace_seasons(silver.with_folded_type(built), f"{silver_layer}.combined", s.COMBINED_CLUSTER)
     seasons.note_built(spark, silver_layer, now)
     return chosen

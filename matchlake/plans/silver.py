@@ -11,6 +11,7 @@ from ..operators import filters
 from ..operators.history import current_versions
 from ..operators.joins import attach_detail
 from ..operators.shaping import names_without
+from ..sources import dealt
 
 
 def snapshot(history: DataFrame, derived: dict[str, Column] | None = None) -> DataFrame:
@@ -107,6 +108,12 @@ def combined(match_grain: DataFrame, events: DataFrame, strategy: str | None = N
     return attach_detail(match_grain, details, s.MATCH_KEY, strategy)
 
 
+def combined_in_parts(match_grain: DataFrame, events: DataFrame, strategy: str | None = None) -> DataFrame:
+    """Like ``combined``, from tables dealt by match and part (``sources.dealt``): no exchange if both are bucketed alike."""
+    details = events.select(*dealt.DEALT_BY, *[f"`{c}`" for c in s.COMBINED_EVENT_COLUMNS])
+    return attach_detail(match_grain, details, dealt.DEALT_BY, strategy, dealt.is_whole()).drop(dealt.PART, dealt.PARTS)
+
+
 def with_folded_type(events: DataFrame) -> DataFrame:
     """Events with their type in lower case, which Parquet can compare with a value where it cannot fold."""
     return events.withColumn(s.TYPE_FOLDED, F.lower("type"))

@@ -22,20 +22,23 @@ BUILT = "history string, slice string, attempt string"
 
 
 def arranged(df: DataFrame, cluster_by: Sequence[str] = (), season: Sequence[str] = COMPETITION_KEY) -> DataFrame:
-    """Rows of a season together, oversized seasons split, each part sorted."""
+    """Rows of a season together, oversized seasons split, each part sorted. Without season columns parts are of even size."""
     return df.hint("rebalance", *season).sortWithinPartitions(*season, *cluster_by)
 
 
-def replace_seasons(df: DataFrame, table: str, cluster_by: Sequence[str] = (), season: Sequence[str] = COMPETITION_KEY) -> None:
+def replace_seasons(df: DataFrame, table: str, cluster_by: Sequence[str] = (), season: Sequence[str] = COMPETITION_KEY,
+                    buckets: tuple[int, Sequence[str]] | None = None) -> None:
     """Write the seasons of ``df`` in place of the stored ones; creates the table on first use.
 
     Seasons are replaced by dynamic partition overwrite: those without a row in ``df`` stay. A history only grows, so no season
-    loses its last row. A table that is there without these columns or partitions is built anew.
+    loses its last row. A table that is there without these columns or partitions is built anew. ``buckets`` (how many, by which
+    columns) deals the rows of each season into that many files.
     """
     spark = df.sparkSession
-    spread = arranged(df, cluster_by, season)
+    spread = df.repartition(buckets[0], *buckets[1]) if buckets else arranged(df, cluster_by, season)
     if not fits(spark, table, df, season):
-        spread.write.mode("overwrite").partitionBy(*season).saveAsTable(table)
+        writer = spread.write.mode("overwrite").partitionBy(*season)
+        (writer.bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1]) if buckets else writer).saveAsTable(table)
         return
     order = [f"`{c}`" for c in spark.table(table).columns]
     name, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")

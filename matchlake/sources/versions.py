@@ -65,10 +65,15 @@ def numbered(number: int) -> str:
     return f"{number:010d}"
 
 
-def create_history(spark: SparkSession, table: str, declared: T.StructType, slice_by: Sequence[str] = ()) -> None:
+def create_history(spark: SparkSession, table: str, declared: T.StructType, slice_by: Sequence[str] = (),
+                   looked_up: Sequence[str] = ()) -> None:
+    """The two tables of a history. Files hold a Bloom filter of every column in ``looked_up``, sized by what is in them."""
+    bloom = {f"parquet.bloom.filter.enabled#{c}": "true" for c in looked_up}
+    bloom |= {"parquet.bloom.filter.adaptive.enabled": "true"} if bloom else {}
+    options = f" OPTIONS ({', '.join(f'{k!r} = {v!r}' for k, v in bloom.items())})" if bloom else ""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table}_rows ({columns}, {SLICE} string, {ATTEMPT} string) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table}_rows ({columns}, {SLICE} string, {ATTEMPT} string) USING parquet{options} "
         f"PARTITIONED BY ({VALID_TO}, {SLICE}, {ATTEMPT})"
     )
     parts = "".join(f"`{name}` {declared[name].dataType.simpleString()}, " for name in slice_by)
@@ -110,15 +115,15 @@ def watermarks(spark: SparkSession, table: str, column: str, slice_by: Sequence[
 
 def load_versions(spark: SparkSession, table: str, incoming: DataFrame, declared: T.StructType,
                   keys: Sequence[str], slice_by: Sequence[str], now: datetime,
-                  newest: str | None = None, cluster_by: Sequence[str] = (), keep: int = 0) -> None:
+                  newest: str | None = None, cluster_by: Sequence[str] = (), looked_up: Sequence[str] = (), keep: int = 0) -> None:
     """Close the open versions of the incoming keys and add the new ones.
 
     ``slice_by`` names columns of ``incoming`` that are part of the key or fixed by it. ``incoming`` is read
     several times: pass a stored batch. ``newest`` names the update time; its maximum per slice is stored with the
     commit. Rows are sorted by ``cluster_by`` in their files, so that readers that filter on these columns
-    skip what they do not need. ``keep`` superseded attempts of a slice are left for readers that still use them.
+    skip what they do not need; files tell by Bloom filters which values of the columns in ``looked_up`` they lack. ``keep`` superseded attempts of a slice are left for readers that still use them.
     """
-    create_history(spark, table, declared, [c for c in slice_by if c in declared.names])
+    create_history(spark, table, declared, [c for c in slice_by if c in declared.names], looked_up)
     state = committed(spark, table)
     remove_unfinished(spark, table, state)
     valid_from, valid_to = version_clock(now)
