@@ -84,6 +84,42 @@ check("S4_read_lineups", read_lineups,
             ON p.match_id = n.match_id AND p.player_id = n.player_id""")
 
 
+def broken_matches(b: Bridge) -> tuple[DataFrame, DataFrame]:
+    """A JSON source in which a tenth of the lines is cut off, a tenth lacks its key and a tenth has one that is no number."""
+    names = s.MATCHES_SOURCE.names
+    line = F.to_json(F.struct(*names))
+    keyless = F.to_json(F.struct(*[n for n in names if n != "match_id"]))
+    wrong = F.to_json(F.struct(F.lit("no number").alias("match_id"), *[n for n in names if n != "match_id"]))
+    written = F.when(F.expr("match_id % 10 = 0"), F.substring(line, 1, 60)).when(F.expr("match_id % 10 = 3"), keyless).when(
+        F.expr("match_id % 10 = 6"), wrong).otherwise(line)
+    path = b.scratch("broken")
+    b.matches.select(written.alias("value")).write.text(path)
+    return readers.read_checked(b.spark, path, s.MATCHES_SOURCE, "json", s.MATCH_KEY)
+
+
+def kept_matches(b: Bridge) -> DataFrame:
+    kept, _ = broken_matches(b)
+    return shaping.clean(kept, s.MATCHES)
+
+
+def rejected_matches(b: Bridge) -> DataFrame:
+    """Rejected rows of two loads, the second repeated."""
+    _, rejected = broken_matches(b)
+    table = f"{b.scratch_schema()}.rejected"
+    for now in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
+        readers.store_rejected(rejected, table, "matches", now)
+    return b.spark.table(table).groupBy("source", "loaded_at", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.length("record") > 0).alias("with_record"))
+
+
+check("S2_kept_of_broken_source", kept_matches, "SELECT * FROM b_matches WHERE match_id % 10 NOT IN (0, 3, 6)")
+check("S2_rejected_of_broken_source", rejected_matches,
+      """SELECT 'matches' AS source, loaded_at, CASE WHEN match_id % 10 = 0 THEN 'unreadable' ELSE 'without match_id' END AS reason,
+            count(*) AS n, count(*) AS with_record
+        FROM b_matches, (VALUES ('2024-02-01 00:00:00'), ('2024-03-01 00:00:00')) t(loaded_at)
+        WHERE match_id % 10 IN (0, 3, 6) GROUP BY ALL""")
+
+
 def stored_matches(b: Bridge) -> str:
     table = f"{b.scratch_schema()}.matches"
     tables.rebuild(b.matches, table)

@@ -11,7 +11,7 @@ from matchlake import schemas as s
 from matchlake.functions import clock, lineups as lx
 from matchlake.functions import matches as mx
 from matchlake.functions import passes as px
-from matchlake.operators import history, joins
+from matchlake.operators import filters, history, joins
 from matchlake.operators import lineups as lu
 from matchlake.plans import bronze, gold, silver
 from matchlake.plans.pipeline import run_pipeline
@@ -87,6 +87,19 @@ check("J9_results_to_stages", lambda b: joins.lookup(
     """SELECT competition_id, season_id, team_id, competition_stage,
         max_competition_stage_ranking AS competition_stage_ranking FROM totals
         LEFT JOIN stage_names ON max_competition_stage_ranking = competition_stage_ranking""")
+check("J9_results_to_first_stage", lambda b: joins.lookup(
+    gold.team_totals(gold.match_tallies(b.match_grain)).select(
+        "competition_id", "season_id", "team_id",
+        F.col("max_competition_stage_ranking").alias("competition_stage_ranking")),
+    gold.stage_names(b.match_grain), ["competition_stage_ranking"], "first"),
+    """SELECT competition_id, season_id, team_id, competition_stage,
+        max_competition_stage_ranking AS competition_stage_ranking FROM totals
+        LEFT JOIN (SELECT competition_stage_ranking, min(competition_stage) AS competition_stage FROM stage_names GROUP BY 1)
+        ON max_competition_stage_ranking = competition_stage_ranking""")
+check("J8_passes_to_one_player_each", lambda b: joins.lookup(
+    b.events.filter(filters.is_pass()).select("id", "player_id"), b.players, ["player_id"], "raise"),
+    """SELECT id, p.player_id, player_nickname FROM b_events p LEFT JOIN player_lookup a ON p.player_id = a.player_id
+        WHERE lower(type) = 'pass'""")
 check("J10_results_to_winners", lambda b: joins.lookup(
     gold.team_totals(gold.match_tallies(b.match_grain)).select(
         "competition_id", "season_id", "team_id",

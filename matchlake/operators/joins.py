@@ -40,9 +40,34 @@ def attach_detail(parents: DataFrame, details: DataFrame, on: Sequence[str],
     return matched.union(padded)
 
 
-def lookup(facts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join of facts to a lookup table (facts on the splittable side)."""
-    return facts.join(table, list(on), "left")
+def lookup(facts: DataFrame, table: DataFrame, on: Sequence[str], doubled: str = "all") -> DataFrame:
+    """Left join of facts to a lookup table (facts on the splittable side).
+
+    Several rows of a key multiply its facts, unless ``doubled`` says otherwise (``one_row_each``).
+    """
+    return facts.join(one_row_each(table, on, doubled), list(on), "left")
+
+
+def one_row_each(table: DataFrame, on: Sequence[str], doubled: str = "raise") -> DataFrame:
+    """A lookup table with one row per key, so that looking up cannot multiply facts.
+
+    ``doubled`` says what happens to a key with several rows: ``raise`` stops the query with the key in its message
+    (where a query takes no column of the lookup, Spark may leave the join out, and nothing is multiplied),
+    ``first`` takes the row that comes first by its other columns in order, NULLs first, ``all`` keeps them. Equal rows count
+    as one. Rows are combined on each task before they are shuffled.
+    """
+    if doubled == "all":
+        return table
+    if doubled not in ("raise", "first"):
+        raise ValueError(f"doubled must be raise, first or all, not {doubled}")
+    rest = [name for name in table.columns if name not in on]
+    row = F.struct(*[F.col(f"`{name}`") for name in rest]) if rest else F.lit(True)
+    picked = table.groupBy(*_cols(on)).agg(F.min(row).alias("_least"), F.max(row).alias("_most"))
+    if doubled == "raise":
+        key = F.concat_ws(", ", *[F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("NULL")) for name in on])
+        several = F.raise_error(F.concat(F.lit(f"several rows for ({', '.join(on)}) = ("), key, F.lit(")"))).cast("boolean")
+        picked = picked.filter(F.when(F.col("_least").eqNullSafe(F.col("_most")), F.lit(True)).otherwise(several))
+    return picked.select(*_cols(on), *[F.col("_least")[name].alias(name) for name in rest]).select(*_cols(table.columns))
 
 
 def only_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +21,23 @@ def player_lookup(lineups: DataFrame) -> DataFrame:
     Equal names collapse before the shuffle and the pick is a plain minimum, so a
     player with very many rows costs no window over them.
     """
-    names = lineups.select("player_id", "player_nickname", "player_name").distinct()
+    return merged_players(best_names(lineups))
+
+
+def best_names(lineups: DataFrame, season: Sequence[str] = ()) -> DataFrame:
+    """The first name in order of every player, of all rows or by season: a part that can be merged."""
+    names = lineups.select(*season, "player_id", "player_nickname", "player_name").distinct()
     order = F.struct(
         F.length(F.coalesce("player_nickname", F.lit(""))).alias("nickname_length"),
         F.length("player_name").alias("name_length"),
         F.col("player_nickname"),
         F.col("player_name"),
     )
-    best = names.groupBy("player_id").agg(F.min(order).alias("best"))
+    return names.groupBy(*season, "player_id").agg(F.min(order).alias("best"))
+
+
+def merged_players(parts: DataFrame) -> DataFrame:
+    best = parts.groupBy("player_id").agg(F.min("best").alias("best"))
     return best.select("player_id", F.col("best.player_nickname").alias("player_nickname"))
 
 
@@ -49,11 +60,11 @@ def team_lookup(matches: DataFrame) -> DataFrame:
     return both_sides(matches, keys).select(*keys, "team_id", "team").distinct()
 
 
-def match_duration_lookup(events: DataFrame) -> DataFrame:
-    """End label and length of each period, total seconds and end of the game."""
+def match_duration_lookup(events: DataFrame, season: Sequence[str] = ()) -> DataFrame:
+    """End label and length of each period, total seconds and end of the game, with the season columns if given."""
     minute, second = F.col("minute"), F.col("second")
     halves = events.filter(filters.is_timed_half_end()).select(
-        "match_id", "type", "period", "minute", "second"
+        *season, "match_id", "type", "period", "minute", "second"
     )
     columns: list[Column] = []
     total = F.lit(0)
@@ -67,7 +78,7 @@ def match_duration_lookup(events: DataFrame) -> DataFrame:
             F.max(F.when(ended, seconds)).alias(f"{prefix}_duration_seconds"),
         ]
         total = total + F.max(F.when(ended, seconds).otherwise(F.lit(0)))
-    grouped = halves.groupBy("match_id").agg(
+    grouped = halves.groupBy(*season, "match_id").agg(
         *columns, total.alias("total_match_duration_seconds")
     )
     return grouped.withColumn("game_end", F.coalesce("et2_end", "h2_end"))
@@ -146,10 +157,10 @@ def team_totals(tallies: DataFrame) -> DataFrame:
     )
 
 
-def stage_names(match_grain: DataFrame) -> DataFrame:
+def stage_names(match_grain: DataFrame, season: Sequence[str] = ()) -> DataFrame:
     """Distinct stage names and ranks; several names may share a rank."""
     return match_grain.select(
-        F.col("fixed_competition_stage").alias("competition_stage"), "competition_stage_ranking"
+        *season, F.col("fixed_competition_stage").alias("competition_stage"), "competition_stage_ranking"
     ).distinct()
 
 
@@ -164,14 +175,15 @@ def finals_winners(match_grain: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def combined_results(match_grain: DataFrame) -> DataFrame:
+def combined_results(match_grain: DataFrame, stages: DataFrame | None = None) -> DataFrame:
     """Results per competition, season and team, with the stage reached.
 
     ``match_grain`` is the competition and match table; the event-grain table
-    gives the same rows from a far larger scan.
+    gives the same rows from a far larger scan. ``stages`` are the stage names of all seasons where the
+    match grain holds only some.
     """
     totals = team_totals(match_tallies(match_grain)).alias("f")
-    stages = stage_names(match_grain).alias("cs")
+    stages = (stage_names(match_grain) if stages is None else stages).alias("cs")
     winners = finals_winners(match_grain).select(
         "competition_id", "season_id", "competition_stage_ranking",
         "third_place_winner", "first_place_winner",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas as s
 from ..operators.joins import BROADCAST_BYTES, broadcast_if_small, strategy_for
 from ..schemas import VALID_TO
-from ..session import tune
+from ..session import scratch_path, tune
 from ..sources import dealt, seasons
 from ..sources.tables import create_layer, rebuild, rebuild_view
 from ..sources.versions import SLICE, read_history
@@ -91,32 +91,73 @@ def run_silver(spark: SparkSession, bronze_layer: str = "bronze", silver_layer:
 
 
 def run_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",
-             broadcast_bytes: int = BROADCAST_BYTES) -> None:
-    """Rebuild the seven marts in dependency order.
+             broadcast_bytes: int = BROADCAST_BYTES, whole: bool = False) -> set[str]:
+    """Bring the seven marts up to date with silver, in dependency order: only the seasons that changed are built.
 
-    Match-grain marts read the match grain rather than the event-grain table. The
-    stored lookups are measured before they are broadcast.
+    Marts hold rows of one season each and are partitioned by it. What reaches beyond a season is kept in parts that can be
+    merged: names of players and of stages by season. Where a merged name differs from before, the seasons it occurs in
+    are built again too. Match-grain marts read the match grain rather than the event-grain table. Stored lookups are
+    measured before they are broadcast. Returns the slices of ``combined_passes`` that were built.
     """
     tune(spark)
     create_layer(spark, gold_layer)
     slv, gld = _reader(spark, silver_layer), _reader(spark, gold_layer)
-
-    def small(name: str) -> DataFrame:
-        return broadcast_if_small(gld(name), broadcast_bytes)
-
-    def build(name: str, df: DataFrame) -> None:
-        rebuild(df, f"{gold_layer}.{name}")
-
+    now = seasons.built_from(spark, silver_layer)
+    before = None if whole else seasons.changed_slices(spark, gold_layer, now)
+    chosen = set().union(*(now if before is None else before).values())
+    if not chosen:
+        return chosen
+
+    def small(df: DataFrame) -> DataFrame:
+        return broadcast_if_small(df, broadcast_bytes)
+
+    def replace(name: str, df: DataFrame, *cluster_by: str) -> None:
+        seasons.replace_seasons(df, f"{gold_layer}.{name}", cluster_by)
+
+    def some(layer_reader, name: str, slices: set[str] = chosen) -> DataFrame:
+        return seasons.of_slices(layer_reader(name), slices)
+
+    replace("players_by_season", gold.best_names(some(slv, "lineups"), s.COMPETITION_KEY))
+    rebuild(gold.merged_players(gld("players_by_season")), f"{gold_layer}.player_lookup")
+    renamed = _differing(spark, gold_layer, "player_lookup", ["player_id"])
+    replace("team_lookup", gold.team_lookup(some(slv, "matches")))
+    replace("durations_by_season", gold.match_duration_lookup(some(slv, "combined"), s.COMPETITION_KEY), "match_id")
+    durations = gld("durations_by_season").drop(*s.COMPETITION_KEY)
+    rebuild_view(spark, f"{gold_layer}.match_duration_lookup",
+                 f"SELECT {', '.join(f'`{c}`' for c in durations.columns)} FROM {gold_layer}.durations_by_season")
+    replace("combined_player_playtime", gold.combined_player_playtime(
+        some(slv, "lineups"), small(some(gld, "durations_by_season").drop(*s.COMPETITION_KEY)), small(some(gld, "team_lookup"))))
     match_grain = slv("competition_matches")
-    build("player_lookup", gold.player_lookup(slv("lineups")))
-    build("team_lookup", gold.team_lookup(slv("matches")))
-    build("match_duration_lookup", gold.match_duration_lookup(slv("events")))
-    build("combined_player_playtime", gold.combined_player_playtime(
-        slv("lineups"), small("match_duration_lookup"), small("team_lookup")))
-    build("combined_results", gold.combined_results(match_grain))
-    build("combined_matches", gold.combined_matches(match_grain))
-    build("combined_passes", gold.combined_passes(
-        slv("combined"), small("combined_results"), small("player_lookup")))
+    replace("stages_by_season", gold.stage_names(some(slv, "competition_matches"), s.COMPETITION_KEY))
+    stages = gld("stages_by_season").select("competition_stage", "competition_stage_ranking").distinct()
+    rebuild(stages, f"{gold_layer}.stages")
+    restaged = _differing(spark, gold_layer, "stages", ["competition_stage"])
+    # a stage name of its own in one season shows in the results of all
+    of_results = chosen if restaged is None else set().union(*now.values())
+    replace("combined_results", gold.combined_results(seasons.of_slices(match_grain, of_results), gld("stages")))
+    replace("combined_matches", gold.combined_matches(some(slv, "competition_matches")), "match_id")
+    of_passes = chosen | of_results
+    if renamed is not None and before is not None:
+        of_passes |= seasons.slices_with(gld("combined_passes"), renamed, {"player_id": ["player_id", "pass_recipient_id"]})
+    replace("combined_passes", gold.combined_passes(some(slv, "combined", of_passes), small(gld("combined_results")), small(gld("player_lookup"))))
+    for name in ("player_lookup", "stages"):
+        rebuild(gld(name), f"{gold_layer}.{name}_built")
+    seasons.note_built(spark, gold_layer, now)
+    return of_passes
+
+
+def _differing(spark: SparkSession, layer: str, name: str, keys: list[str]) -> DataFrame | None:
+    """Keys of a lookup whose rows are not those the marts were last built with; None if there are none, or no marts.
+
+    The comparison is with the copy that is written after the marts, so a run that stopped before that is made up for.
+    """
+    if not spark.catalog.tableExists(f"{layer}.{name}_built"):
+        return None
+    old, new = spark.table(f"{layer}.{name}_built"), spark.table(f"{layer}.{name}")
+    differ, path = old.exceptAll(new).unionByName(new.exceptAll(old)).select(*keys).distinct(), scratch_path(spark, name)
+    differ.write.parquet(path)
+    stored = spark.read.schema(differ.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def run_pipeline(spark: SparkSession, sources: Sources, now: datetime,

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as s
 from ..operators.joins import only_keys
+from ..operators.shaping import cleaned_column
+from .seasons import replace_seasons
 
 
 def text_schema(schema: T.StructType) -> T.StructType:
@@ -36,6 +41,38 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str)
     return reader.format(fmt).load(path)
 
 
+CORRUPT, SOURCE_FILE = "_corrupt_record", "source_file"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
+                 required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The rows of a text source that can be used, and the rejected ones as (source_file, reason, record).
+
+    A line that does not parse, or a CSV line with another number of columns, is ``unreadable`` and kept as it is; a row
+    whose column in ``required`` is missing, or does not clean to its declared type, is ``without <column>`` and kept as JSON.
+    Both frames read the source; nothing is dropped silently and no line stops a load.
+    """
+    raw = text_schema(schema)
+    reader = spark.read.schema(raw.add(T.StructField(CORRUPT, T.StringType()))).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if fmt == "csv":
+        # all columns are parsed, or lines of another length would pass when few are asked for
+        reader = reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
+    rows = reader.format(fmt).load(path)
+    names = [f"`{name}`" for name in schema.names]
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable"))
+    for name in required:
+        reason = reason.when(cleaned_column(rows, name, schema).isNull(), F.lit(f"without {name}"))
+    judged = rows.select(*names, CORRUPT, F.col("_metadata.file_path").alias(SOURCE_FILE), reason.alias("reason"))
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names)))
+    return judged.filter("reason IS NULL").select(*names), judged.filter("reason IS NOT NULL").select(SOURCE_FILE, "reason", record.alias("record"))
+
+
+def store_rejected(rejected: DataFrame, table: str, source: str, now: datetime) -> None:
+    """Keep the rejected rows of a load beside those of others; repeating the load replaces its own."""
+    stamped = rejected.withColumns({"source": F.lit(source), "loaded_at": F.lit(now.isoformat(sep=" "))})
+    replace_seasons(stamped, table, season=["source", "loaded_at"])
+
+
 def read_competitions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return read_source(spark, path, s.COMPETITIONS_SOURCE, fmt)
 

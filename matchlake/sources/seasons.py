@@ -70,6 +70,24 @@ def changed_slices(spark: SparkSession, layer: str, now: dict[str, dict[str, str
     return {name: {n for n, attempt in slices.items() if before.get((name, n)) != attempt} for name, slices in now.items()}
 
 
+def built_from(spark: SparkSession, layer: str) -> dict[str, dict[str, str]]:
+    """Per history: the attempt of each slice from which a layer was built."""
+    found: dict[str, dict[str, str]] = {}
+    for r in spark.table(f"{layer}.built").collect():
+        found.setdefault(r["history"], {})[r[SLICE]] = r[ATTEMPT]
+    return found
+
+
+def slices_with(df: DataFrame, keys: DataFrame, columns: dict[str, Sequence[str]], season: Sequence[str] = COMPETITION_KEY) -> set[str]:
+    """Slices of a stored table in which one of the ``columns`` of a key holds a listed key. Reads these columns only."""
+    found: set[str] = set()
+    for key, names in columns.items():
+        for name in names:
+            hits = df.select(*season, F.col(name).alias(key)).join(keys.select(key), key, "left_semi")
+            found |= {r[0] for r in hits.select(slice_name(season)).distinct().collect()}
+    return found
+
+
 def note_built(spark: SparkSession, layer: str, now: dict[str, dict[str, str]]) -> None:
     rows = [(name, n, attempt) for name, slices in now.items() for n, attempt in slices.items()]
     spark.createDataFrame(rows, BUILT).coalesce(1).write.mode("overwrite").saveAsTable(f"{layer}.built")

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from matchlake.functions import passes as px
 from matchlake.operators import joins
 from matchlake.operators.shaping import align
 from matchlake.plans import gold, silver
+from matchlake.sources import readers
 
 STAGES = {
     "Regular Season": 0, "League Stage": 0, "Group Stage": 1, "1st Group Stage": 1,
@@ -170,3 +172,32 @@ def test_lookup_is_broadcast_only_below_the_measured_limit(spark):
     assert joins.measured_bytes(table) == 100 * (8 + 8 + 8 + 16)  # null bits, two slots, padded text
     assert joins.strategy_for(table, 4000) == "broadcast"
     assert joins.strategy_for(table, 3999) is None  # left to adaptive execution
+
+
+def test_lookups_that_may_not_multiply(spark):
+    facts = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    table = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (2, "c", None), (2, "c", None)], "k int, name string, n int")
+    assert joins.lookup(facts, table, ["k"]).count() == 5
+    picked = joins.lookup(facts, table, ["k"], "first")
+    assert rows(picked.select("k", "v", "name", "n")) == [(None, "z", None, None), (1, "x", "a", 2), (2, "y", "c", None)]
+    assert rows(joins.one_row_each(table.filter("k = 2"), ["k"])) == [(2, "c", None)]
+    with pytest.raises(Exception, match=r"several rows for \(k\) = \(1\)"):
+        joins.lookup(facts, table, ["k"], "raise").select("v", "name").collect()
+    with pytest.raises(ValueError):
+        joins.lookup(facts, table, ["k"], "some")
+
+
+def test_broken_lines_are_kept_aside(spark, tmp_path):
+    declared = s.contract("""
+        bigint  k
+        string  v
+    """)
+    (tmp_path / "a.json").write_text('{"k": "1", "v": "a"}\n{"k": 2, "v"\n{"v": "c"}\n{"k": "x", "v": "d"}\n\n[1]\n')
+    kept, rejected = readers.read_checked(spark, str(tmp_path / "a.json"), declared, "json", ["k"])
+    assert rows(kept) == [("1", "a")]
+    got = rows(rejected.select("reason", "record"))
+    assert [r for r, _ in got].count("without k") == 2 and ("unreadable", '{"k": 2, "v"') in got
+    assert all(path.endswith("a.json") for path, in rows(rejected.select("source_file")))
+    (tmp_path / "b.csv").write_text("k,v\n1,a\n2\n3,c,extra\n,d\n")
+    kept, rejected = readers.read_checked(spark, str(tmp_path / "b.csv"), declared, "csv", ["k"])
+    assert rows(kept.select("k")) == [("1",)] and rows(rejected.select("reason")) == [("unreadable",)] * 2 + [("without k",)]

@@ -316,3 +316,45 @@ def test_only_the_listed_seasons_of_a_source_are_read(spark, tmp_path):
     assert rows(picked.select("competition_id", "season_id").distinct()) == [(1, 1), (2, 3)]
     # two of twenty seasons; filters on each column by itself would have read four
     assert sum(n for n in scanned(picked) if n > 4) == 40
+
+
+MARTS = ("team_lookup", "combined_player_playtime", "combined_results", "combined_matches", "combined_passes")
+
+
+def changed(given, **columns):
+    """Sources with other lineups and stages in season 1."""
+    lineups, matches = given.lineups, given.matches
+    if "nickname" in columns:
+        lineups = lineups.withColumn("player_nickname", F.when(F.col("match_id") < 20, F.lit(columns["nickname"])))
+    if "stage" in columns:
+        matches = matches.withColumn("competition_stage", F.when(F.col("season_id") == 1, F.lit(columns["stage"])).otherwise(F.col("competition_stage")))
+    return Sources(given.competitions, matches, given.events, lineups)
+
+
+def test_marts_are_kept_up_by_season(spark):
+    run_bronze(spark, sources(spark, 0, day(1)), T1, "igb", [43])
+    run_silver(spark, "igb", "igs")
+    assert run_gold(spark, "igs", "igg") == {"43-1", "43-2", "43-3"}
+    assert run_gold(spark, "igs", "igg") == set()
+    steps = [
+        # another score: one season
+        (sources(spark, 4, day(8)), T2, {"43-1"}),
+        # another nickname, first in order: every season in which the player passes
+        (changed(sources(spark, 5, day(9)), nickname="A"), T3, {"43-1", "43-2", "43-3"}),
+        # a stage name that was not there: the results of all seasons may show it
+        (changed(sources(spark, 6, day(10)), nickname="A", stage="Grand Final"), datetime(2024, 4, 1), {"43-1", "43-2", "43-3"}),
+        # the same again with another score: one season
+        (changed(sources(spark, 7, day(11)), nickname="A", stage="Grand Final"), datetime(2024, 5, 1), {"43-1"}),
+    ]
+    for given, now, built in steps:
+        run_bronze(spark, given, now, "igb", [43])
+        run_silver(spark, "igb", "igs")
+        before = {t: files(spark, f"igg.{t}") for t in MARTS}
+        assert run_gold(spark, "igs", "igg") == built
+        for t in MARTS:
+            held = before[t] & files(spark, f"igg.{t}")
+            assert len(built) == 3 or held == {f for f in before[t] if "season_id=1" not in f} != set()
+        run_gold(spark, "igs", "igw", whole=True)
+        for t in (*MARTS, "player_lookup", "match_duration_lookup"):
+            kept = spark.table(f"igg.{t}")
+            assert rows(kept) == rows(spark.table(f"igw.{t}").select(*kept.columns)), t
