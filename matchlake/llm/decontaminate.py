@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packed import LOWER, NOT_ALNUM, keys, mix, pack, slices, span_hashes, word_spans
+from .packed import LOWER, NOT_ALNUM, keys, mix, pack, release, slices, span_hashes, word_spans
 from .scratch import stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -121,6 +121,7 @@ def _scanner(shared, batch_bytes: int):
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
                 yield _scan_batch(part, built[0])
+        release()
 
     return run
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .counters import summed
-from .packed import LOWER, keys, pack, slices
+from .packed import LOWER, keys, pack, release, slices
 
 UND = "und"
 ORDERS = (2, 3, 4)
@@ -193,6 +193,7 @@ def predict(documents: DataFrame, model: CodeModel | None, margin: float = 0.05,
                     [*kept, pa.array(np.where(letter, names[best], UND), pa.string()), pa.array(np.where(letter, score, 0.0)),
                      pa.array(unsure & letter)],
                     [*(n for n in part.schema.names if n != "has#letter"), "lang_pred", "score", "ambiguous"])
+        release()
 
     schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes)
     return known.mapInArrow(run, f"{schema}, lang_pred string, score double, ambiguous boolean")

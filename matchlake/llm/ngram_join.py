@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .counters import summed
-from .packed import SPACES, keys, mix, slices, words
+from .packed import SPACES, keys, mix, release, slices, words
 from .scratch import stored
 
 SKETCH = 1 << 22
@@ -109,6 +109,7 @@ def set_table(documents: DataFrame, n: int, percent: int, batch_bytes: int) -> D
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()), digest(first), digest(second), pa.array(parity, pa.binary()),
                      pa.ListArray.from_arrays(stops, pa.array(flat))], ["doc_id", "text_hash", "size", "d1", "d2", "parity", "prefix"])
+        release()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
     shape = "doc_id long, text_hash long, size long, d1 long, d2 long, parity binary, prefix array<long>"
@@ -338,6 +339,7 @@ def link_edges(documents: DataFrame, nodes: DataFrame, members: DataFrame, n: in
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("hub", "node", "side", "left", "right")), raw],
                     ["hub", "node", "side", "left", "right", "elements"])
+        release()
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
     # equal texts without an id are one before they are moved

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .encoders import token_ids
-from .packed import pack, slices
+from .packed import pack, release, slices
 from .repair import Grammar, compress
 
 SHARD = ("shard int, doc_ids array<long>, starts array<int>, n_ids long, base int, "
@@ -56,6 +56,8 @@ def write_tokens(documents: DataFrame, out: str, path: str, end_id: int, base: i
                     number, waiting, size = number + 1, [], 0
         if waiting:
             yield _shard(number, waiting, end_id, base)
+        waiting = None
+        release()
 
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -114,6 +116,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                      pa.array(tails - heads), pa.array(crc, pa.int64()),
                      pa.array(np.diff(np.append(starts, len(symbols))))],
                     ["before", "doc_id", "offset", "n_tokens", "ids_crc32", "n_symbols"])
+        release()
 
     # one small row per shard: the ids in all shards before it
     order = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
