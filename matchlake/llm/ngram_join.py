@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .counters import summed
 from .packed import SPACES, keys, mix, release, slices, words
-from .scratch import stored
+from .scratch import removed, stored
 
 SKETCH = 1 << 22
 SKETCH_SHIFT = np.uint64(64 - 22)
@@ -161,7 +161,7 @@ def in_blocks(members: DataFrame, weight, block: int) -> DataFrame:
 
 def plausible_members(nodes: DataFrame, members: DataFrame, percent: int, block: int) -> DataFrame:
     """The members that may be linked within the group of their hub; only their sets are moved."""
-    dealt = in_blocks(stored(members, "members"), F.lit(1), block)
+    dealt = in_blocks(members, F.lit(1), block)
 
     def keep(group: pa.Table) -> pa.Table:
         return group.select(["hub", "node", "size"]).filter(pa.array(may_link(group, percent)))
@@ -171,15 +171,18 @@ def plausible_members(nodes: DataFrame, members: DataFrame, percent: int, block:
 
 
 def hub_members(nodes: DataFrame, percent: int) -> DataFrame:
-    """hub, node: every two nodes that share an index list and may link by size have a hub in common."""
+    """hub, node: every two nodes that share an index list and may link by size have a hub in common. A stored table."""
     # size classes by the factor within which sets can link, a trifle wider against rounding
     level = F.floor(F.log("size") / (math.log(100 / percent) + 1e-9)).cast("int").alias("level")
     lists = nodes.select("node", level, F.explode("prefix").alias("element"))
-    shared = lists.groupBy("element").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("element")
+    # a node holds an element once, so a count tells shared ones; most rows of this shuffle differ in the element alone
+    shared = lists.groupBy("element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("element")
     kept = stored(lists.join(shared, "element", "left_semi"), "lists")
     entries = kept.select("element", "node", F.explode(F.array("level", F.col("level") + 1)).alias("level"))
     hubs = entries.groupBy("element", "level").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top")
-    return entries.join(hubs.drop("top"), ["element", "level"]).select("hub", "node").distinct()
+    members = stored(entries.join(hubs.drop("top"), ["element", "level"]).select("hub", "node").distinct(), "members")
+    removed(kept)
+    return members
 
 
 class IndexBlock:
@@ -358,11 +361,14 @@ def classed_rows(documents: DataFrame, n: int = 5, percent: int = 80, block: int
     Rows without words have component_id doc_id and no keeper. ``keeper`` is the place (nameless, doc_id, text_hash) of the text that comes
     first in the class: of those with the smallest doc_id the one with the smallest hash.
     """
-    sets = set_table(documents, n, percent, batch_bytes)
-    nodes = node_table(sets)
+    whole = set_table(documents, n, percent, batch_bytes)
+    nodes = node_table(whole)
+    # sketches and prefixes are with the nodes now
+    sets = stored(whole.select("doc_id", "text_hash", "size", "d1", "d2"), "set-rows")
+    removed(whole)
     members = plausible_members(nodes, hub_members(nodes, percent), percent, max(2, block // 500))
     edges = link_edges(documents, nodes, members, n, percent, block, batch_bytes)
-    rows = sets.select("doc_id", "text_hash", "size", "d1", "d2").join(nodes.select("d1", "d2", "node"), ["d1", "d2"], "left").drop("d1", "d2")
+    rows = sets.join(nodes.select("d1", "d2", "node"), ["d1", "d2"], "left").drop("d1", "d2")
     # texts under one id belong together
     ids = rows.filter("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z")
     several = rows.join(ids.select("doc_id", "a"), "doc_id").filter("node > a").select("a", F.col("node").alias("b"))
