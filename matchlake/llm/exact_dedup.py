@@ -3,7 +3,8 @@
 Misra-Gries (``freqItems``) names every digest that may hold more than ``support`` of the rows, at most
 ``1 / support`` of them. Those are counted exactly; the ones that really are that frequent are broadcast
 and their rows are settled where they are, without a shuffle. All other digests go through an ordinary
-shuffle, in which no group holds more than ``support`` of the rows.
+shuffle: their rows are combined by digest in the tasks, and the digests that occur again are joined to the rows, which are
+the side of the join that adaptive execution can split. Texts are equal if their SHA-256 is.
 
 Edge cases: null text counts as empty and is returned with the digest of the empty text; of rows with the
 same text and the same doc_id exactly one is kept; a null doc_id is smaller than any other; an empty table
@@ -12,7 +13,7 @@ gives an empty result; other columns are neither read nor returned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored
@@ -35,9 +36,10 @@ def exact_groups(documents: DataFrame, support: float = 0.001) -> DataFrame:
         best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     heavy = stored(counted.filter(F.col("group_size") > support * rows.count()), "heavy")
     settled = rows.join(F.broadcast(heavy), "text_sha256")
-    group = Window.partitionBy("text_sha256")
-    rest = rows.join(F.broadcast(heavy), "text_sha256", "left_anti").select(
-        "text_sha256", "doc_id", "row", best.over(group).alias("best"), F.count(F.lit(1)).over(group).alias("group_size"))
+    light = rows.join(F.broadcast(heavy), "text_sha256", "left_anti")
+    again = light.groupBy("text_sha256").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
+    rest = light.join(again, "text_sha256", "left").select(
+        "text_sha256", "doc_id", "row", F.coalesce("best", F.struct("doc_id", "row")).alias("best"), F.coalesce("group_size", F.lit(1)).alias("group_size"))
     return settled.select(*rest.columns).unionAll(rest).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256")
