@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -119,15 +120,20 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
-def read_records(selected: DataFrame, folder: str, range_bytes: int = 8 << 20, gap_bytes: int = 64 << 10) -> DataFrame:
+def read_records(selected: DataFrame, folder: str, range_bytes: int = 8 << 20, gap_bytes: int = 64 << 10, task_bytes: int = 128 << 20) -> DataFrame:
     """page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload of the selected index rows.
 
     Rows of one stretch of an archive go to one task in order of their offset; ranges up to ``gap_bytes`` apart are
-    read together. The payload of a response is checked against its digest.
+    read together. The payload of a response is checked against its digest. The number of tasks follows from the bytes of the
+    selected records, of which the index rows that are shuffled show nothing.
     """
     archives = folder.rstrip("/") + "/archives"
     stretch: Column = F.floor(F.col("offset") / F.lit(range_bytes))
-    sorted_ = selected.select("archive", "offset", "length", stretch.alias("stretch")).repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    cores = selected.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(total / task_bytes), min(cores, math.ceil(total / range_bytes)))
+    stretches = selected.select("archive", "offset", "length", stretch.alias("stretch")).repartition(tasks, "archive", "stretch")
+    sorted_ = stretches.sortWithinPartitions("archive", "offset")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = open_folder(archives)

@@ -83,3 +83,18 @@ def test_archives(session):
     some = warc.read_records(index.filter("page_id in (1, 6, 8)"), folder).collect()
     assert sorted(r.page_id for r in some) == [1, 6, 8]
     assert warc.write_archives(pages.limit(0), scratch_path(session, "test-warc")).isEmpty()
+
+
+def test_more_than_one_task_reads(session):
+    """The index rows are few bytes, the records they name are not."""
+    pages = session.range(200).select(F.col("id").alias("page_id"), F.lit("http://a").alias("url"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(1), F.lit(200)), lambda k: F.sha1(F.concat_ws("-", k, "id").cast("binary")))).alias("html"))
+    folder = scratch_path(session, "test-warc")
+    read = warc.read_records(warc.write_archives(pages, folder), folder, range_bytes=200_000)
+    assert read.count() == 200
+    assert read.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_no_window_over_equal_digests(session):
+    plan = exact_dedup.exact_groups(session.range(50).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")))._jdf.queryExecution().toString()
+    assert "Window" not in plan
