@@ -4,12 +4,14 @@ Every language has a codeword of bits. One binary classifier per bit tells the l
 from those with a zero: a linear model over hashed byte n-grams whose weights are the log odds of the n-gram counts
 of both sides, counted over all training texts. A text gets the language whose codeword has the smallest
 loss, a sum over the bits of the logistic loss of the classifier's margin, weighted by how well that classifier
-does on each language in a bounded sample of the training texts. A text whose two best languages lie
+does on each language in a sample of the training texts, about ``WEIGHT_ROWS`` different ones, whose margins are worked out
+where they are read. A text whose two best languages lie
 closer than ``margin`` is flagged as ambiguous.
 
 Edge cases: null text, and text without a letter, is ``und`` with score 0; without any training text every text is ``und``;
 with one language all other texts get that one; null lang is never learned from; repeated rows are learned from
-and predicted each; texts of any length are read whole; other columns are ignored.
+and predicted each; texts of any length are read whole; other columns are ignored, and those named like a result
+are replaced by it.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .counters import summed
@@ -146,10 +148,11 @@ def held_out(doc_id, modulus: int = 4, remainder: int = 2):
 def train(labelled: DataFrame, batch_bytes: int = 4 << 20) -> CodeModel | None:
     """Learn from all rows of (text, lang) with a lang. None if there is nothing to learn from.
 
-    The driver gets the list of languages, and one count for each language and bucket.
+    The driver gets the number of texts of each language, one count for each language and bucket, and the margins of the sample.
     """
     labelled = labelled.select("text", "lang").filter("lang is not null and text is not null")
-    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    rows = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    languages = sorted(rows)
     if not languages:
         return None
     place = {lang: i for i, lang in enumerate(languages)}
@@ -165,18 +168,38 @@ def train(labelled: DataFrame, batch_bytes: int = 4 << 20) -> CodeModel | None:
 
     flat = summed(labelled, count, int(np.prod(shape)))
     model = CodeModel(languages, flat.reshape(shape))
-    # bounded sample for the bit weights: the rows with the smallest hashes
-    sample = labelled.orderBy(F.xxhash64("text"), "text").limit(WEIGHT_ROWS).select("lang", "text").toArrow()
-    if sample.num_rows:
-        m = margins(sample.column("text").combine_chunks(), model.weights)
-        model.weigh(m, np.array([place[x] for x in sample.column("lang").to_pylist()]))
+    sample = sampled_margins(labelled, model, min(1.0, WEIGHT_ROWS / sum(rows.values())), batch_bytes).collect()
+    if sample:
+        model.weigh(np.array([r["margins"] for r in sample]).reshape(len(sample), -1), np.array([place[r["lang"]] for r in sample]))
     return model
 
 
+def sampled_margins(labelled: DataFrame, model: CodeModel, share: float, batch_bytes: int) -> DataFrame:
+    """lang, hash, margins: one row per language and different text among this share of all text hashes. No text is moved."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model.weights)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", batch_bytes):
+                found = list(margins(part.column("text"), shared.value))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("lang"), part.column("hash"), pa.array(found, pa.list_(pa.float64()))], ["lang", "hash", "margins"])
+        release()
+
+    hashed = labelled.select("lang", F.xxhash64("text").alias("hash"), "text")
+    below = hashed.filter(F.col("hash") <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))))
+    found = below.mapInArrow(measure, "lang string, hash long, margins array<double>")
+    return found.groupBy("lang", "hash").agg(F.first("margins").alias("margins"))
+
+
+def has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(documents: DataFrame, model: CodeModel | None, margin: float = 0.05, batch_bytes: int = 4 << 20) -> DataFrame:
     """The columns of the documents and lang_pred, score, ambiguous. Only the text is looked at."""
-    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    known = documents.withColumn("has#letter", has_letter)
+    documents = documents.drop("lang_pred", "score", "ambiguous")
+    known = documents.withColumn("has#letter", has_letter())
     if model is None:
         return known.drop("has#letter").select("*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
