@@ -81,3 +81,8 @@ def test_whole_run(session):
     got = corpus_pipeline.run(session, SF_DIR)
     assert got.select("doc_id").distinct().count() > 50
     assert got.agg(F.sum("n_tokens")).first()[0] == got.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0]
+
+
+def test_without_languages_to_learn_from(session):
+    docs = session.createDataFrame([(1, "some words"), (2, "12 34"), (3, None), (4, "é")], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(session, docs, SF_DIR).collect()) == [1, 4]
