@@ -1,6 +1,6 @@
 """The corpus pipeline: documents to token shards, in five stages.
 
-1. language ID: documents without a language go (null text, or no letter in it)
+1. language ID: documents without a language go (null text, or no letter in it); without any lang to learn from only these go
 2. n-gram Jaccard join: of each class of near copies the document with the smallest doc_id stays (of its texts the one with the smallest hash)
 3. benchmark decontamination: documents that hold a window of a benchmark item go
 4. mixing: documents are left out or repeated until every source has its share of words
@@ -22,10 +22,13 @@ from matchlake.llm.queries import BYTE_BPE, BYTE_BPE_IDS
 from matchlake.llm.scratch import prepare, stored
 from matchlake.session import scratch_path
 
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, learned from the lang column where it is not null."""
     prepare(spark)
     model = language_id.train(docs)
+    if model is None:
+        return docs.filter(language_id.has_letter())
     taken = {"lang_pred", "score", "ambiguous"}
     inner = docs.select(*[F.col(f"`{c}`").alias(f"given#{c}" if c in taken else c) for c in docs.columns])
     kept = language_id.predict(inner, model).filter(F.col("lang_pred") != language_id.UND)
