@@ -2,17 +2,17 @@
 
 States are contexts of up to ``order - 1`` words. An arc of a state carries the log-probability of a next
 word; a word without an arc follows the failure arc to the next shorter context and pays its backoff weight.
-The last state, the empty context, knows every word of the training texts.
+The last state, the empty context, knows every word of the training texts. An arc leads to the longest suffix of
+its n-gram that is a state.
 
 The automaton grows with the corpus: every n-gram that occurs at least ``LEAST`` times is an arc, at every size. Counts are
-exact. States and arcs are a partitioned table. Its costs are pushed onto the n-grams: with prefix a, suffix z and backoff
-weight b, the n-gram g weighs log P(g) - log P(z) - b(a) + b(g), and the empty context gives log P(w) + b(w). A path pays
-exactly the sum of the weights of all n-grams of its text that are arcs: of nested arcs that end at a word, all but the
-longest cancel out, and each state that fails leaves its b. So n-grams are looked up, in any order, instead of being stepped through.
+exact. States and arcs are one table for each length of n-gram, dealt by range of the hash; no task and no broadcast holds a whole one.
 
-N-grams and words meet their counts and weights by hash, packed by range of the hash. Those above ``cached`` and
-``word_share`` of all training tokens are broadcast (at most ``1 / cached`` of each length, ``1 / word_share`` words);
-this changes where a weight is found, not the score.
+Texts are encoded once, into chunks of about ``CHUNK`` tokens: the sorted hashes of the chunk's words, and for each token its place
+among them. A chunk asks for the arcs it may pass, each once, and in order of length: an n-gram only if its prefix and its suffix
+were found, as every prefix and suffix of an arc is an arc. With these arcs each text is read from left to right with its state. Long
+texts are cut into lanes of ``LANE`` tokens, which are stepped side by side; a lane starts ``order - 1`` tokens early, after which its
+state is that of the whole text. Hashes have 64 bits; log-probabilities travel as 32-bit floats and are added up in 64 bits.
 
 ``ngram_share`` prunes n-grams below that share of the training tokens; it is 0 (no pruning) unless given.
 
@@ -22,7 +22,7 @@ share stands for all unseen ones.
 
 Edge cases: null and empty texts are the end token alone; without training rows N and V are 0 and every token has
 probability 1 / 1; null doc_ids are training rows; repeated rows count and are scored each; texts of any length
-are scored whole; other columns are ignored.
+are scored whole, a text longer than a chunk is a chunk; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,20 +33,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .packed import END_OF_TEXT, SPACES, keys, mix, slices, words
+from .packed import END_OF_TEXT, SPACES, keys, mix, release, slices, words
 from .scratch import removed, stored
 
 DISCOUNT = 0.5
 #: count from which an n-gram of two words or more is an arc
 LEAST = 2
 JOIN = keys(2, 0x33) | np.uint64(1)
-#: n-grams that meet in one partition, and tokens that are packed together
-PER_PART, PER_PACK = 2 << 20, 2 << 20
-CELL = "part int, kind int, size int, data binary"
+#: n-grams that meet in one partition, tokens of a chunk, tokens of a lane
+PER_PART, CHUNK, LANE = 2 << 20, 1 << 20, 256
+#: packed columns that go to the partition of their hashes; a chunk below 0 stands for the model
+CELL = "part int, chunk long, size int, data binary"
+#: columns of a cell: counted n-grams (hash, prefix, count), arcs (hash, count of a word, log-probability, backoff of its state), requests
+COUNTED, ARCS, ASKED = ["u8", "u8", "u4"], ["u8", "i8", "f4", "f4"], ["u8"]
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,18 +65,6 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], ends + 1])
 
 
-def ngrams(found: np.ndarray, first: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each length from 2 on: where in the tokens such n-grams end, the hash of their prefix and of their suffix."""
-    place = np.arange(len(found)) - np.repeat(first[:-1], np.diff(first))
-    ids = found
-    for n in range(2, order + 1):
-        at = np.flatnonzero(place >= n - 1)
-        prefix, suffix = ids[at - 1], ids[at]
-        yield n, at, prefix, suffix
-        ids = np.zeros(len(found), np.uint64)
-        ids[at] = longer(prefix, suffix)
-
-
 def longer(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Hash of the n-gram with this prefix and suffix, both one word shorter; order matters."""
     return mix(prefix * JOIN[0] + suffix * JOIN[1])
@@ -101,51 +92,35 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def cells(key: np.ndarray, columns: list[np.ndarray], kind: int, parts: int) -> pa.RecordBatch:
-    """Columns that are sorted by ``key``, cut where the part of the key changes and compressed.
+def squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns compressed, the first bytes of all values first; of the first column, which ascends, the differences."""
+    columns = [np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:]]
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    return pa.compress(raw, codec="zstd", asbytes=True)
 
-    Kinds from 0 on have the key as first column and keep its differences.
-    """
-    part = (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
-    heads = np.flatnonzero(np.diff(part, prepend=-1))
-    ends = np.append(heads[1:], len(part))
-    data = []
-    for a, b in zip(heads, ends, strict=True):
-        cut = [c[a:b] for c in columns]
-        if kind >= 0:
-            cut[0] = np.diff(cut[0], prepend=cut[0].dtype.type(0))
-        raw = b"".join((_bytes(c).T if _by_byte(c.dtype, i) else c).tobytes() for i, c in enumerate(cut))
-        data.append(pa.compress(raw, codec="zstd", asbytes=True))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(part[heads]), pa.array(np.full(len(heads), kind, np.int32)), pa.array((ends - heads).astype(np.int32)),
-         pa.array(data, pa.binary())], ["part", "kind", "size", "data"])
 
+def opened(data: bytes, sizes: list[int], types: list[str]) -> list[np.ndarray]:
+    """Columns of those sizes and types, as ``squeezed`` packed them."""
+    dtypes = [np.dtype(t) for t in types]
+    total = sum(n * t.itemsize for n, t in zip(sizes, dtypes, strict=True))
+    raw, out, at = pa.decompress(data, decompressed_size=total, codec="zstd", asbytes=True), [], 0
+    for n, t in zip(sizes, dtypes, strict=True):
+        given = np.frombuffer(raw, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
+        out.append(np.ascontiguousarray(given.T).view(t).reshape(n))
+        at += n * t.itemsize
+    out[0] = np.cumsum(out[0], dtype=out[0].dtype)
+    return out
 
-def _by_byte(dtype: np.dtype, place: int) -> bool:
-    """Whether a column is packed byte by byte, the first bytes of all values first: not where whole values repeat."""
-    return place == 0 or dtype.kind != "f" and dtype.itemsize == 4
 
-
-def _bytes(values: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
-
-
-def opened(batch: pa.RecordBatch, types: dict[int, list]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Kind and columns of each packed row."""
-    for kind, size, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "size", "data")), strict=True):
-        dtypes = [np.dtype(t) for t in types[kind]]
-        raw = pa.decompress(data, decompressed_size=size * sum(t.itemsize for t in dtypes), codec="zstd", asbytes=True)
-        out, at = [], 0
-        for i, t in enumerate(dtypes):
-            if _by_byte(t, i):
-                given = np.frombuffer(raw, np.uint8, size * t.itemsize, at).reshape(t.itemsize, size)
-                out.append(np.ascontiguousarray(given.T).view(t).reshape(size))
-            else:
-                out.append(np.frombuffer(raw, t, size, at))
-            at += size * t.itemsize
-        if kind >= 0:
-            out[0] = np.cumsum(out[0], dtype=out[0].dtype)
-        yield kind, out
+def cells(chunk: int, columns: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """Columns in ascending order of the first one, a hash, cut where its part changes."""
+    part = (((columns[0] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+    heads = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(heads[1:], len(part))
+    data = [squeezed([c[a:b] for c in columns]) for a, b in zip(heads, ends, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[heads]), pa.array(np.full(len(heads), chunk, np.int64)), pa.array((ends - heads).astype(np.int32)),
+         pa.array(data, pa.binary())], ["part", "chunk", "size", "data"])
 
 
 @contextmanager
@@ -164,21 +139,125 @@ def parts_for(spark: SparkSession, total: int, order: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-total * (order - 1) // PER_PART))
 
 
-def word_counts(training: DataFrame, batch_bytes: int) -> DataFrame:
-    """c0 (token hash), n: exact counts of all tokens of the training texts."""
+@dataclass
+class Chunk:
+    """Texts as numbers: the words in ascending order, each token's place among them, the first token of each text."""
+
+    words: np.ndarray
+    places: np.ndarray
+    first: np.ndarray
+
+    @staticmethod
+    def of(data: bytes, distinct: int, size: int, rows: int) -> Chunk:
+        found, places, lengths = opened(data, [distinct, size, rows], ["u8", "u4", "u4"])
+        return Chunk(found, places, np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]))
+
+    @property
+    def tokens(self) -> np.ndarray:
+        return self.words[self.places]
+
+    def ngrams(self, length: int, tables: list[Arcs] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and prefix of every occurrence of an n-gram of that length whose prefix and suffix are among the arcs, if given."""
+        ids = self.tokens
+        if length == 1:
+            return ids, np.zeros(len(ids), np.uint64)
+        place = np.arange(len(ids)) - np.repeat(self.first[:-1], np.diff(self.first))
+        known = np.ones(len(ids), dtype=bool) if tables is None else (find(tables[0].ids, self.words) >= 0)[self.places]
+        for n in range(2, length + 1):
+            at = np.flatnonzero(known[1:] & known[:-1] & (place[1:] >= n - 1)) + 1
+            prefix = ids[at - 1]
+            gram = longer(prefix, ids[at])
+            if n == length:
+                return gram, prefix
+            ids = np.zeros(len(place), np.uint64)
+            ids[at] = gram
+            known = np.zeros(len(place), dtype=bool)
+            known[at] = True if tables is None else find(tables[n - 1].ids, gram) >= 0
+        raise AssertionError
+
+
+@dataclass
+class Arcs:
+    """Arcs of one length in ascending order of their hash."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    logp: np.ndarray
+    backoff: np.ndarray
+
+    @staticmethod
+    def of(given: list[list[np.ndarray]]) -> Arcs:
+        columns = [np.concatenate(c) for c in zip(*given, strict=True)] if given else [np.empty(0, t) for t in ARCS]
+        at = np.argsort(columns[0])
+        return Arcs(*(c[at] for c in columns))
+
+
+def encode(documents: DataFrame, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> DataFrame:
+    """chunk, doc_ids, number of distinct words (n_words) and of tokens (size), packed data: written once, read by all later steps."""
+    kind = dict(documents.dtypes)["doc_id"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        waiting, size = [], 0
+
+        def full():
+            ids = pa.concat_arrays([w[0] for w in waiting])
+            found, places = np.unique(np.concatenate([w[1] for w in waiting]), return_inverse=True)
+            lengths = np.concatenate([w[2] for w in waiting]).astype(np.uint32)
+            waiting.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([len(found)], pa.int32()), pa.array([len(places)], pa.int32()),
+                 pa.array([squeezed([found, places.astype(np.uint32), lengths])], pa.binary())],
+                ["chunk", "doc_ids", "n_words", "size", "data"])
+
         for batch in batches:
             for part in slices(batch, "text", batch_bytes):
-                found, n = np.unique(tokens(part.column("text"))[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], ["c0", "n"])
+                found, first = tokens(part.column("text"))
+                # a slice of short texts is cut where it fills the chunk
+                row = 0
+                while row < part.num_rows:
+                    stop = int(np.searchsorted(first, first[row] + per_chunk - size, side="right")) - 1
+                    stop = max(stop, row if waiting else row + 1)
+                    if stop > row:
+                        waiting.append((part.column("doc_id").slice(row, stop - row), found[first[row]:first[stop]], np.diff(first[row:stop + 1])))
+                        size += int(first[stop] - first[row])
+                    if stop < part.num_rows or size >= per_chunk:
+                        yield full()
+                        chunk, size = chunk + 1, 0
+                    row = stop
+        if waiting:
+            yield full()
+        release()
 
-    return training.mapInArrow(run, "c0 long, n long").groupBy("c0").agg(F.sum("n").alias("n"))
+    return stored(documents.select("doc_id", "text").mapInArrow(
+        run, f"chunk long, doc_ids array<{kind}>, n_words int, size int, data binary"), "chunks")
 
 
-def ngram_counts(training: DataFrame, length: int, least: int, parts: int, batch_bytes: int) -> DataFrame:
-    """id, prefix, suffix (hashes), n of all n-grams of one length: exact counts from ``least`` on."""
-    types = {0: ["u8", "u8", "u4"]}
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk]]:
+    names = ("chunk", "data", "n_words", "size", "rows")
+    for chunk, *rest in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+        yield chunk, Chunk.of(*rest)
+
+
+def _texts(chunks: DataFrame) -> DataFrame:
+    return chunks.select("chunk", "data", "n_words", "size", F.size("doc_ids").alias("rows"))
+
+
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """id (token hash), n: exact counts of all tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, chunk in _chunks(batch):
+                n = np.bincount(chunk.places, minlength=len(chunk.words))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(chunk.words)), pa.array(n)], ["id", "n"])
+        release()
+
+    return _texts(chunks).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
+
+def ngram_counts(chunks: DataFrame, length: int, least: int, parts: int) -> DataFrame:
+    """id, prefix, suffix (hashes), n of all n-grams of one length: exact counts from ``least`` on."""
     def tally(ids: np.ndarray, prefix: np.ndarray, n: np.ndarray | None):
         at = np.argsort(ids)
         ids = ids[at]
@@ -187,28 +266,17 @@ def ngram_counts(training: DataFrame, length: int, least: int, parts: int, batch
         return ids[heads], prefix[at[heads]], count
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-
-        def full():
-            if waiting:
-                ids, prefix, count = tally(*(np.concatenate(c) for c in zip(*waiting, strict=True)), None)
-                waiting.clear()
-                yield cells(ids, [ids, prefix, count.astype(np.uint32)], 0, parts)
-
         for batch in batches:
-            for part in slices(batch, "text", batch_bytes):
-                found, first = tokens(part.column("text"))
-                *_, (_, at, prefix, suffix) = ngrams(found, first, length)
-                if len(at):
-                    waiting.append((longer(prefix, suffix), prefix))
-                    size += len(at)
-                if size >= PER_PACK:
-                    yield from full()
-                    size = 0
-        yield from full()
+            for number, chunk in _chunks(batch):
+                ids, prefix = chunk.ngrams(length)
+                if len(ids):
+                    ids, prefix, count = tally(ids, prefix, None)
+                    yield cells(number, [ids, prefix, count.astype(np.uint32)], parts)
+        release()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = [columns for batch in batches for _, columns in opened(batch, types)]
+        given = [opened(data, [size] * 3, COUNTED) for batch in batches
+                 for size, data in zip(batch.column("size").to_pylist(), batch.column("data").to_pylist(), strict=True)]
         if given:
             ids, prefix, count = tally(*(np.concatenate(c) for c in zip(*given, strict=True)))
             given.clear()
@@ -217,48 +285,44 @@ def ngram_counts(training: DataFrame, length: int, least: int, parts: int, batch
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(signed(c)) for c in (ids, prefix, shorter_by_one(ids, prefix))), pa.array(count[kept])],
                 ["id", "prefix", "suffix", "n"])
+        release()
 
-    return training.mapInArrow(pack, CELL).repartitionById(parts, F.col("part")).mapInArrow(
+    return _texts(chunks).mapInArrow(pack, CELL).repartitionById(parts, F.col("part")).mapInArrow(
         merge, "id long, prefix long, suffix long, n long")
 
 
 @dataclass
 class Model:
-    """Sizes, the broadcast part of the weights (sorted arrays) and the table of all other ones: id, weight, base, known."""
+    """Sizes, and for each length of n-gram its arcs, with the state they lead on to: id, n, logp, backoff."""
 
     order: int
     total: int
     distinct: int
     parts: int
-    words: np.ndarray
-    word_base: np.ndarray
-    word_weight: np.ndarray
-    ngrams: np.ndarray
-    ngram_weight: np.ndarray
-    table: DataFrame | None
+    tables: list[DataFrame]
+
+    @property
+    def mass(self) -> float:
+        return self.total + 0.5 * (self.distinct + 1)
 
     @property
     def unseen(self) -> float:
-        return float(np.log10(0.5 / (self.total + 0.5 * (self.distinct + 1))))
+        return float(np.log10(0.5 / self.mass))
 
 
-def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, word_share: float = 2.5e-7,
-          batch_bytes: int = 8 << 20, cached: float = 1e-6) -> tuple[Model, DataFrame]:
-    """The automaton, and the table (c0, n) of all token counts, from rows of (text)."""
+def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> Model:
+    """The automaton, from rows of (text)."""
     spark = training.sparkSession
-    training = training.select("text")
     with freed(spark):
-        counts = stored(word_counts(training, batch_bytes), "words")
+        chunks = encode(training.select(F.lit(None).cast("int").alias("doc_id"), "text"), per_chunk, batch_bytes)
+        counts = stored(word_counts(chunks), "words")
         total, distinct = (int(x) for x in counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first())
+        model = Model(order, total, distinct, parts_for(spark, total, order), [])
         least = max(LEAST, int(np.ceil(ngram_share * total)))
-        parts = parts_for(spark, total, order)
-        mass = total + 0.5 * (distinct + 1)
-        # probability and count of the n-grams one word shorter, and what they weigh but for their own backoff
-        shorter = counts.select(F.col("c0").alias("id"), "n", ((F.col("n") + 0.5) / mass).alias("p"))
-        shorter = shorter.withColumn("weight", F.log10("p") - F.log10(F.lit(0.5 / mass)))
-        tables = []
+        # n-grams one word shorter: count and probability
+        shorter = counts.select("id", "n", ((F.col("n") + 0.5) / model.mass).alias("p"))
         for length in range(2, order + 1):
-            grams = stored(ngram_counts(training, length, least, parts, batch_bytes), "ngrams")
+            grams = stored(ngram_counts(chunks, length, least, model.parts), "ngrams")
             # the suffix of an arc is an arc: it is at least as frequent
             arcs = stored(grams.join(shorter.select(F.col("id").alias("suffix"), F.col("p").alias("lower")), "suffix").drop("suffix"), "arcs")
             removed(grams)
@@ -266,179 +330,188 @@ def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, word_sh
                 shorter.select(F.col("id").alias("prefix"), F.col("n").alias("of")), "prefix")
             left = lambda x: F.greatest(1 - x, F.lit(1e-12))
             states = stored(states.select("prefix", "of", F.log10(left(F.col("kept") / F.col("of")) / left(F.col("below"))).alias("backoff")), "states")
-            tables.append(stored(_weights(shorter, states, length - 1), "weights"))
-            if length > 2:
-                removed(shorter)
-            p = (F.col("n") - DISCOUNT) / F.col("of")
-            shorter = stored(arcs.join(states, "prefix").select(
-                "id", "n", p.alias("p"), (F.log10(p / F.col("lower")) - F.col("backoff")).alias("weight")), "arcs")
+            own = states.select(F.col("prefix").alias("id"), F.col("backoff").cast("float"))
+            model.tables.append(stored(_arcs(shorter.join(own, "id", "left"), length - 1), "model"))
+            removed(counts if length == 2 else shorter)
+            shorter = stored(arcs.join(states, "prefix").select("id", "n", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p")), "arcs")
             removed(arcs)
             removed(states)
-        tables.append(_weights(shorter, None, order))
-        weights = tables[0]
-        for t in tables[1:]:
-            weights = weights.unionAll(t)
-    often = F.when(F.col("length") == 1, F.lit(max(1.0, word_share * total))).otherwise(F.lit(cached * total)) <= F.col("n")
-    head = weights.filter(often).toArrow()
-    ids, n, weight, length = (head.column(c).to_numpy() for c in ("id", "n", "weight", "length"))
-    ids, one = ids.view(np.uint64), length == 1
-    at, up = np.flatnonzero(one), np.flatnonzero(~one)
-    at, up = at[np.argsort(ids[at])], up[np.argsort(ids[up])]
-    unseen = np.log10(0.5 / mass)
-    table = weights.filter(~often).select(
-        "id", "weight", F.when(F.col("length") == 1, F.log10((F.col("n") + 0.5) / mass) - F.lit(float(unseen))).otherwise(0.0).alias("base"),
-        (F.col("length") == 1).cast("int").alias("known"))
-    return Model(order, total, distinct, parts, ids[at], np.log10((n[at] + 0.5) / mass), weight[at] + unseen,
-                 ids[up], weight[up], table if total else None), counts
-
-
-def _weights(ngrams_: DataFrame, states: DataFrame | None, length: int) -> DataFrame:
-    """length, id, n, weight of all n-grams of one length, with the backoff of those that are states.
-
-    Words weigh what they have over an unseen word.
-    """
-    if states is None:
-        return ngrams_.select(F.lit(length).alias("length"), "id", "n", "weight")
-    own = states.select(F.col("prefix").alias("id"), "backoff")
-    return ngrams_.join(own, "id", "left").select(
-        F.lit(length).alias("length"), "id", "n", (F.col("weight") + F.coalesce("backoff", F.lit(0.0))).alias("weight"))
+        model.tables.append(_arcs(shorter.withColumn("backoff", F.lit(None).cast("float")), order))
+        removed(chunks)
+    return model
 
 
-#: packed rows: weights of the model, postings (hash, row less the first row, first row), partial sums of rows
-WEIGHTS, POSTINGS, SUMS = 0, 1, -1
-TYPES = {WEIGHTS: ["u8", "f8", "f8", "u1"], POSTINGS: ["u8", "u4", "i8"], SUMS: ["i8", "f8", "f8", "i4"]}
+def _arcs(ngrams: DataFrame, length: int) -> DataFrame:
+    """id, n (of words only, whose probability follows from it), logp, backoff; n-grams that are no states have no backoff to pay."""
+    zero = F.lit(0.0).cast("float")
+    n, logp = (F.col("n"), zero) if length == 1 else (F.lit(0).cast("long"), F.log10("p").cast("float"))
+    return ngrams.select("id", n.alias("n"), logp.alias("logp"), F.coalesce("backoff", zero).alias("backoff"))
 
 
-def score(documents: DataFrame, model: Model, counts: DataFrame, batch_bytes: int = 8 << 20) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score and the row number of every row of (doc_id, text)."""
-    spark = documents.sparkSession
-    parts, order, unseen, total = model.parts, model.order, model.unseen, model.total
-    shared = spark.sparkContext.broadcast((model.words, model.word_base, model.word_weight, model.ngrams, model.ngram_weight))
-    kind = dict(documents.dtypes)["doc_id"]
-    # rows of one document, or packed rows that go to the partition of their hashes
-    mixed = f"{CELL}, row long, doc_id {kind}, n_tokens long, known long, base double, model double"
-    names = [c.split(" ")[0] for c in mixed.split(", ")]
+ROWS = "chunk long, length int, size int, data binary"
 
-    def whole(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
-        """The batch with all columns of both sorts of rows."""
-        have = set(batch.schema.names)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(f.name).cast(f.type) if f.name in have else pa.nulls(batch.num_rows, f.type) for f in schema], schema=schema)
 
-    def schema_of(doc_type: pa.DataType) -> pa.Schema:
-        fixed = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), doc_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.schema(list(zip(names, fixed, strict=True)))
+def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int) -> DataFrame:
+    """chunk, length, size, data: of the n-grams that chunks ask for, those that are arcs."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, base, weight, often, often_weight = shared.value
-        for batch in batches:
-            schema = schema_of(batch.schema.field("doc_id").type)
-            for part in slices(batch, "text", batch_bytes):
-                found, first = tokens(part.column("text"))
-                rows = part.column("row").to_numpy()
-                owner = np.repeat(np.arange(len(rows)), np.diff(first))
-                sums = lambda at, x: np.bincount(owner[at], x, len(rows))  # noqa: E731,B023
-                place = find(heads, found)
-                near, far = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
-                known = sums(near, None)
-                of_base, of_model = sums(near, base[place[near]]), sums(near, weight[place[near]])
-                missing = sums(far, np.full(len(far), unseen))
-                ids, who = [found[far]], [owner[far]]
-                for _, at, prefix, suffix in ngrams(found, first, order):
-                    gram = longer(prefix, suffix)
-                    place = find(often, gram)
-                    near, far = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
-                    of_model = of_model + sums(at[near], often_weight[place[near]])
-                    ids.append(gram[far])
-                    who.append(owner[at[far]])
-                yield whole(pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(rows)) % parts), pa.array(np.full(len(rows), POSTINGS)), part.column("row"), part.column("doc_id"), pa.array(np.diff(first)),
-                     pa.array(known), pa.array(of_base + missing), pa.array(of_model + missing)],
-                    ["part", "kind", "row", "doc_id", "n_tokens", "known", "base", "model"]), schema)
-                ids, who = np.concatenate(ids), np.concatenate(who)
-                if len(ids) and total:
-                    at = np.argsort(ids)
-                    yield whole(cells(ids[at], [ids[at], who[at].astype(np.uint32), np.full(len(at), rows[0])], POSTINGS, parts), schema)
+        def full():
+            arcs = Arcs.of(waiting)
+            waiting.clear()
+            return cells(-1, [arcs.ids, arcs.n, arcs.logp, arcs.backoff], parts)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, weight, base, known = (batch.column(c).to_numpy() for c in ("id", "weight", "base", "known"))
-            at = np.argsort(ids.view(np.uint64))
-            if len(at):
-                yield cells(ids.view(np.uint64)[at], [ids.view(np.uint64)[at], weight[at], base[at], known[at].astype(np.uint8)], WEIGHTS, parts)
+            columns = [batch.column(c).to_numpy() for c in ("id", "n", "logp", "backoff")]
+            waiting.append([columns[0].view(np.uint64), *columns[1:]])
+            size += len(columns[0])
+            if size >= CHUNK:
+                yield full()
+                size = 0
+        if size:
+            yield full()
+        release()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the weights come first, postings stream past them
-        given, table, waiting, size, schema = [], None, [], 0, None
-
-        def full():
-            if waiting:
-                columns = summed([np.concatenate(c) for c in zip(*waiting, strict=True)])
-                waiting.clear()
-                at = np.argsort(spread(columns[0]))
-                yield whole(cells(spread(columns[0])[at], [c[at] for c in columns], SUMS, parts), schema)
-
+        # the arcs come first, requests stream past them
+        given, arcs = [], None
         for batch in batches:
-            schema = schema_of(batch.schema.field("doc_id").type)
-            packed = batch.column("data").is_valid()
-            ready = batch.filter(pc.invert(packed))
-            if ready.num_rows:
-                yield whole(ready, schema)
-            for sort, columns in opened(batch.filter(packed), TYPES):
-                if sort == WEIGHTS:
-                    given.append(columns)
+            out = []
+            for chunk, size, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "size", "data")), strict=True):
+                if chunk < 0:
+                    given.append(opened(data, [size] * 4, ARCS))
                     continue
-                if table is None:
-                    table = [np.concatenate(c) for c in zip(*given, strict=True)] if given else [np.empty(0, t) for t in TYPES[WEIGHTS]]
-                    given = []
-                    at = np.argsort(table[0])
-                    table = [c[at] for c in table]
-                ids, offset, start = columns
-                place = find(table[0], ids)
-                hit = np.flatnonzero(place >= 0)
-                if len(hit):
-                    place = place[hit]
-                    waiting.append((start[hit] + offset[hit], table[1][place], table[2][place], table[3][place].astype(np.int32)))
-                    size += len(hit)
-                if size >= PER_PACK:
-                    yield from full()
-                    size = 0
-        yield from full()
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        for batch in batches:
-            for _, columns in opened(batch, TYPES):
-                waiting.append(columns)
-                size += len(columns[0])
-                if size >= PER_PACK:
-                    waiting, size = [summed([np.concatenate(c) for c in zip(*waiting, strict=True)])], 0
-        if waiting:
-            columns = summed([np.concatenate(c) for c in zip(*waiting, strict=True)])
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0]), *(pa.array(c) for c in columns[1:3]), pa.array(columns[3].astype(np.int64))],
-                                             ["row", "more_model", "more_base", "more"])
-
-    numbered = documents.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    dealt = numbered.mapInArrow(run, mixed)
-    if model.table is not None:
-        packed = model.table.mapInArrow(pack, CELL)
-        dealt = dealt.unionByName(packed, allowMissingColumns=True)
-    with freed(spark):
-        met = stored(dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("kind").mapInArrow(meet, mixed), "scored")
-        sums = stored(met.filter("data is not null").select("part", "kind", "size", "data").repartitionById(parts, F.col("part")).mapInArrow(
-            add, "row long, more_model double, more_base double, more long"), "sums")
-    none = lambda name: F.coalesce(name, F.lit(0))
-    return met.filter("data is null").join(sums, "row", "left").select(
-        "row", "doc_id", "n_tokens", (F.col("known") + none("more")).alias("n_known"),
-        (F.col("base") + none("more_base")).alias("base_score"), (F.col("model") + none("more_model")).alias("score"))
+                if arcs is None:
+                    arcs = Arcs.of(given)
+                    given.clear()
+                place = find(arcs.ids, opened(data, [size], ASKED)[0])
+                place = place[place >= 0]
+                if len(place):
+                    out.append((chunk, length, len(place), squeezed([c[place] for c in (arcs.ids, arcs.n, arcs.logp, arcs.backoff)])))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                    ["chunk", "length", "size", "data"])
+        release()
+
+    return stored(table.mapInArrow(pack, CELL).unionAll(asked).repartitionById(parts, F.col("part")).sortWithinPartitions("chunk").mapInArrow(
+        meet, ROWS), "found")
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk, pa.Array | None, list[list]]]:
+    """Each chunk with its doc_ids and, for each length, the packed columns found for it; a chunk's texts come before its arcs."""
+    now = None
+    for batch in batches:
+        names = batch.schema.names
+        columns = [batch.column(c).to_pylist() for c in ("chunk", "length", "size", "data", "n_words", "rows")]
+        for i, (chunk, length, size, data, n_words, rows) in enumerate(zip(*columns, strict=True)):
+            if length == 0:
+                if now:
+                    yield now
+                ids = batch.column("doc_ids")[i].values if "doc_ids" in names else None
+                now = chunk, Chunk.of(data, n_words, size, rows), ids, []
+            else:
+                found = now[3]
+                while len(found) < length:
+                    found.append([])
+                found[length - 1].append(opened(data, [size] * 4, ARCS))
+    if now:
+        yield now
+
 
+def _tables(found: list[list], lengths: int) -> list[Arcs]:
+    return [Arcs.of(found[n] if n < len(found) else []) for n in range(lengths)]
 
-def spread(rows: np.ndarray) -> np.ndarray:
-    return mix(rows.astype(np.uint64))
 
+def score(documents: DataFrame, model: Model, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of every row of (doc_id, text)."""
+    spark = documents.sparkSession
+    parts, order, mass, unseen = model.parts, model.order, model.mass, model.unseen
+    kind = dict(documents.dtypes)["doc_id"]
+
+    def request(length: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, chunk, _, found in _together(batches):
+                ids = chunk.words if length == 1 else np.unique(chunk.ngrams(length, _tables(found, length - 1))[0])
+                if len(ids):
+                    yield cells(number, [ids], parts)
+            release()
+        return run
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, chunk, ids, found in _together(batches):
+            tables = _tables(found, order)
+            place = find(tables[0].ids, chunk.words)
+            known = place >= 0
+            of_word = np.full(len(known), unseen)
+            of_word[known] = np.log10((tables[0].n[place[known]] + 0.5) / mass)
+            owner = np.repeat(np.arange(len(ids)), np.diff(chunk.first))
+            total = lambda values: np.bincount(owner, values[chunk.places], len(ids))  # noqa: E731,B023
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(np.diff(chunk.first)), pa.array(np.rint(total(known)).astype(np.int64)), pa.array(total(of_word)),
+                 pa.array(traverse(chunk, tables, of_word))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+        release()
+
+    def gathered(found: list[DataFrame], texts: DataFrame) -> DataFrame:
+        for f in found:
+            texts = texts.unionByName(f, allowMissingColumns=True)
+        return texts.repartition(parts, "chunk").sortWithinPartitions("chunk", "length") if found else texts
 
-def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Rows with the sums of their other columns."""
-    rows, at = np.unique(columns[0], return_inverse=True)
-    out = [np.bincount(at, c, len(rows)) for c in columns[1:]]
-    return [rows, out[0], out[1], np.rint(out[2]).astype(np.int32)]
+    with freed(spark):
+        chunks = encode(documents, per_chunk, batch_bytes)
+        texts = _texts(chunks).withColumn("length", F.lit(0))
+        found = []
+        for length in range(1, order + 1):
+            asked = gathered(found, texts).mapInArrow(request(length), CELL)
+            found.append(_meet(asked, model.tables[length - 1], length, parts))
+    texts = chunks.withColumn("length", F.lit(0)).withColumn("rows", F.size("doc_ids"))
+    return gathered(found, texts).mapInArrow(walk, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+
+
+def traverse(chunk: Chunk, tables: list[Arcs], of_word: np.ndarray) -> np.ndarray:
+    """Log10 probability of each text: all lanes step from state to state, a token at a time.
+
+    A lane stands in the state of its longest known context (``depth`` words); ``context[k]`` is its last k + 1 words, the
+    state that the failure arcs lead to. ``of_word`` is what the last state, the empty context, gives each word of the chunk.
+    """
+    order, first = len(tables), chunk.first
+    lanes = -(-np.diff(first) // LANE)
+    owner = np.repeat(np.arange(len(lanes)), lanes)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    begin = first[owner] + number * LANE
+    start = np.maximum(begin - (order - 1), first[owner])
+    length = np.minimum(begin + LANE, first[owner + 1]) - start
+    at = np.argsort(-length, kind="stable")
+    owner, begin, start, length = owner[at], begin[at], start[at], length[at]
+
+    context = [np.zeros(len(owner), np.uint64) for _ in range(order - 1)]
+    depth, total = np.zeros(len(owner), np.int64), np.zeros(len(owner))
+    for step in range(int(length.max(initial=0))):
+        n_on = int(np.searchsorted(-length, -step))  # lanes that go on: the longest come first
+        token = chunk.places[start[:n_on] + step]
+        grams = [chunk.words[token]]
+        for c in context:
+            grams.append(longer(c[:n_on], grams[-1]))
+        paid, reached = np.zeros(n_on), np.zeros(n_on, np.int64)
+        waiting, stand = np.arange(n_on), depth[:n_on].copy()
+        for state in range(order - 1, 0, -1):  # from states of so many words along an arc, or along the failure arc
+            here = waiting[stand[waiting] == state]
+            if not len(here):
+                continue
+            place = find(tables[state].ids, grams[state][here])
+            passed = place >= 0
+            paid[here[passed]] += tables[state].logp[place[passed]]
+            reached[here[passed]] = state + 1
+            failed = here[~passed]
+            paid[failed] += tables[state - 1].backoff[find(tables[state - 1].ids, context[state - 1][failed])]
+            stand[failed] = state - 1
+            stand[here[passed]] = -1
+            waiting = waiting[stand[waiting] >= 0]
+        paid[waiting] += of_word[token[waiting]]
+        reached[waiting] = find(tables[0].ids, grams[0][waiting]) >= 0
+        counted = start[:n_on] + step >= begin[:n_on]
+        total[:n_on] += np.where(counted, paid, 0)
+        depth[:n_on] = np.minimum(reached, order - 1)
+        for c, gram in zip(context, grams, strict=False):
+            c[:n_on] = gram
+    return np.bincount(owner, total, len(lanes))

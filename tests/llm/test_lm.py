@@ -60,16 +60,16 @@ class Plain:
 
 
 @pytest.mark.parametrize("which", ["odd_documents", "documents"])
-@pytest.mark.parametrize("share, word_share", [(1e-4, 1e-6), (2e-3, 1e-3)])
-def test_scores(which, share, word_share, request):
+@pytest.mark.parametrize("share, per_chunk", [(1e-4, 1 << 20), (2e-3, 500)])
+def test_scores(which, share, per_chunk, request):
     docs = request.getfixturevalue(which)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
     plain = Plain([t for d, t in rows if not held(d)], 3, share)
     from matchlake.llm.language_id import held_out
 
-    model, counts = backoff_lm.train(docs.filter(~held_out("doc_id", 5, 1)), 3, share, word_share)
-    got = backoff_lm.score(docs, model, counts).collect()
+    model = backoff_lm.train(docs.filter(~held_out("doc_id", 5, 1)), 3, share, per_chunk)
+    got = backoff_lm.score(docs, model, per_chunk).collect()
     assert (model.total, model.distinct) == (plain.n, plain.v)
     want = {}
     for d, t in rows:
@@ -98,27 +98,38 @@ def test_model_beats_the_base_on_held_out_texts(session):
 
 
 def test_without_training_texts(session, odd_documents, no_documents):
-    model, counts = backoff_lm.train(no_documents)
-    rows = backoff_lm.score(odd_documents, model, counts).collect()
+    model = backoff_lm.train(no_documents)
+    rows = backoff_lm.score(odd_documents, model).collect()
     assert {(r.n_known, r.score, r.base_score) for r in rows} == {(0, 0.0, 0.0)}
-    model, counts = backoff_lm.train(odd_documents)
-    assert backoff_lm.score(no_documents, model, counts).isEmpty()
+    assert backoff_lm.score(no_documents, backoff_lm.train(odd_documents)).isEmpty()
 
 
-@pytest.mark.parametrize("broadcast", [{}, {"word_share": 1.0, "cached": 1.0}])
-def test_repeated_ngrams_are_arcs_at_every_size(session, broadcast):
-    """What occurs twice is an arc, however many tokens there are, and whether or not weights are broadcast."""
+@pytest.mark.parametrize("per_chunk", [1 << 20, 3000])
+def test_repeated_ngrams_are_arcs_at_every_size(session, per_chunk):
+    """What occurs twice is an arc, however many tokens there are, and however many of them a chunk holds."""
     filler = [" ".join(f"w{i * 7 % 101} v{i * 11 % 89}" for i in range(k, k + 25_000)) for k in range(0, 250_000, 25_000)]
     rare = [f"a{k} b{k} c{k} d{k % 5}" for k in range(50)] * 2 + [f"a{k} b{k} only{k}" for k in range(50)]
     asked = ["a3 b3 c3 d3", "a3 b3 w7", "never a4 b4 c4", "w7 v11 w14", "", None]
     rows = list(enumerate([*filler, *rare]))
     training = session.createDataFrame(rows, "doc_id long, text string").repartition(4)
     plain = Plain([t for _, t in rows], 3, 0)
-    model, counts = backoff_lm.train(training, **broadcast)
+    model = backoff_lm.train(training, per_chunk=per_chunk)
     wanted = session.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
-    got = {r.doc_id: r for r in backoff_lm.score(wanted, model, counts).collect()}
+    got = {r.doc_id: r for r in backoff_lm.score(wanted, model, per_chunk).collect()}
     assert model.total > 500_000 and len(got) == len(asked)
     for i, t in enumerate(asked):
         known = sum(plain.counts[1][(w,)] > 0 for w in tokens(t))
         base = sum(math.log10(plain.base(w)) for w in tokens(t))
         assert (got[i].n_known, got[i].base_score, got[i].score) == pytest.approx((known, base, plain.score(t)), rel=1e-6)
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_long_text_in_lanes(session, order):
+    """A text of many lanes, whose state must not be lost where it is cut; models of other orders."""
+    text = " ".join(f"t{i * i % 37} u{i * 5 % 11}" for i in range(2000))
+    training = session.createDataFrame([(1, text), (2, text[:3000]), (3, "t1 u5")], "doc_id long, text string")
+    plain = Plain([r.text for r in training.collect()], order, 0)
+    model = backoff_lm.train(training, order, per_chunk=700)
+    asked = {1: text, 2: "new " + text[100:9000] + " t4 never t9 u1", 3: None}
+    got = backoff_lm.score(session.createDataFrame(list(asked.items()), "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.score for r in got} == pytest.approx({d: plain.score(t) for d, t in asked.items()}, rel=1e-6)
