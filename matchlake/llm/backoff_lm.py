@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .packed import END_OF_TEXT, SPACES, keys, mix, release, slices, words
+from .packed import END_OF_TEXT, SPACES, keys, mix, ranges, release, slices, words
 from .scratch import removed, stored
 
 DISCOUNT = 0.5
@@ -46,10 +46,14 @@ LEAST = 2
 JOIN = keys(2, 0x33) | np.uint64(1)
 #: n-grams that meet in one partition, tokens of a chunk, tokens of a lane
 PER_PART, CHUNK, LANE = 2 << 20, 1 << 20, 256
+#: shares of the chunks that ask and are read one after the other, so that only one share's requests and arcs are on disk
+WAVES = 2
+#: bits by which a request is longer than it takes to number all tokens: one in 2^12 is answered with an arc of another n-gram too
+SPARE = 12
 #: packed columns that go to the partition of their hashes; a chunk below 0 stands for the model
 CELL = "part int, chunk long, size int, data binary"
 #: columns of a cell: counted n-grams (hash, prefix, count), arcs (hash, count of a word, log-probability, backoff of its state), requests
-COUNTED, ARCS, ASKED = ["u8", "u8", "u4"], ["u8", "i8", "f4", "f4"], ["u8"]
+COUNTED, ARCS, ASKED, VALUES = ["u8", "u8", "u4"], ["u8", "i8", "f4", "f4"], ["u8"], ["i8", "f4", "f4"]
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +97,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def squeezed(columns: list[np.ndarray]) -> bytes:
-    """Columns compressed, the first bytes of all values first; of the first column, which ascends, the differences."""
+    """Columns compressed, of numbers but floats the first bytes of all values first; of the first column, which ascends, the differences."""
     columns = [np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:]]
-    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+    raw = b"".join((c if c.dtype.kind == "f" else np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
     return pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -105,16 +109,19 @@ def opened(data: bytes, sizes: list[int], types: list[str]) -> list[np.ndarray]:
     total = sum(n * t.itemsize for n, t in zip(sizes, dtypes, strict=True))
     raw, out, at = pa.decompress(data, decompressed_size=total, codec="zstd", asbytes=True), [], 0
     for n, t in zip(sizes, dtypes, strict=True):
-        given = np.frombuffer(raw, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
-        out.append(np.ascontiguousarray(given.T).view(t).reshape(n))
+        if t.kind == "f":
+            out.append(np.frombuffer(raw, t, n, at))
+        else:
+            given = np.frombuffer(raw, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
+            out.append(np.ascontiguousarray(given.T).view(t).reshape(n))
         at += n * t.itemsize
     out[0] = np.cumsum(out[0], dtype=out[0].dtype)
     return out
 
 
-def cells(chunk: int, columns: list[np.ndarray], parts: int) -> pa.RecordBatch:
-    """Columns in ascending order of the first one, a hash, cut where its part changes."""
-    part = (((columns[0] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+def cells(chunk: int, columns: list[np.ndarray], parts: int, cut: int = 0) -> pa.RecordBatch:
+    """Columns in ascending order of the first one, a hash (without its last ``cut`` bits), cut where its part changes."""
+    part = ((((columns[0] << np.uint64(cut)) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
     heads = np.flatnonzero(np.diff(part, prepend=-1))
     ends = np.append(heads[1:], len(part))
     data = [squeezed([c[a:b] for c in columns]) for a, b in zip(heads, ends, strict=True)]
@@ -189,49 +196,62 @@ class Arcs:
     def of(given: list[list[np.ndarray]]) -> Arcs:
         columns = [np.concatenate(c) for c in zip(*given, strict=True)] if given else [np.empty(0, t) for t in ARCS]
         at = np.argsort(columns[0])
-        return Arcs(*(c[at] for c in columns))
+        return Arcs(*(c[at] if len(c) else c for c in columns))
 
 
 def encode(documents: DataFrame, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> DataFrame:
-    """chunk, doc_ids, number of distinct words (n_words) and of tokens (size), packed data: written once, read by all later steps."""
+    """chunk, training, doc_ids, number of distinct words (n_words) and of tokens (size), packed data, from (doc_id, text, training).
+
+    Written once and read by all later steps. Texts for training and others are in different chunks; without the column none is for training.
+    """
     kind = dict(documents.dtypes)["doc_id"]
+    if "training" not in documents.columns:
+        documents = documents.withColumn("training", F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
-        waiting, size = [], 0
-
-        def full():
-            ids = pa.concat_arrays([w[0] for w in waiting])
-            found, places = np.unique(np.concatenate([w[1] for w in waiting]), return_inverse=True)
-            lengths = np.concatenate([w[2] for w in waiting]).astype(np.uint32)
-            waiting.clear()
+        waiting, size = ([], []), [0, 0]
+
+        def full(training: int):
+            nonlocal chunk
+            given = waiting[training]
+            ids = pa.concat_arrays([w[0] for w in given])
+            found, places = np.unique(np.concatenate([w[1] for w in given]), return_inverse=True)
+            lengths = np.concatenate([w[2] for w in given]).astype(np.uint32)
+            given.clear()
+            chunk, size[training] = chunk + 1, 0
             return pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                [pa.array([chunk], pa.int64()), pa.array([bool(training)]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                  pa.array([len(found)], pa.int32()), pa.array([len(places)], pa.int32()),
                  pa.array([squeezed([found, places.astype(np.uint32), lengths])], pa.binary())],
-                ["chunk", "doc_ids", "n_words", "size", "data"])
+                ["chunk", "training", "doc_ids", "n_words", "size", "data"])
+
+        def filled(part: pa.RecordBatch, training: int):
+            found, first = tokens(part.column("text"))
+            # a slice of short texts is cut where it fills the chunk
+            row = 0
+            while row < part.num_rows:
+                stop = int(np.searchsorted(first, first[row] + per_chunk - size[training], side="right")) - 1
+                stop = max(stop, row if waiting[training] else row + 1)
+                if stop > row:
+                    waiting[training].append((part.column("doc_id").slice(row, stop - row), found[first[row]:first[stop]], np.diff(first[row:stop + 1])))
+                    size[training] += int(first[stop] - first[row])
+                if stop < part.num_rows or size[training] >= per_chunk:
+                    yield full(training)
+                row = stop
 
         for batch in batches:
-            for part in slices(batch, "text", batch_bytes):
-                found, first = tokens(part.column("text"))
-                # a slice of short texts is cut where it fills the chunk
-                row = 0
-                while row < part.num_rows:
-                    stop = int(np.searchsorted(first, first[row] + per_chunk - size, side="right")) - 1
-                    stop = max(stop, row if waiting else row + 1)
-                    if stop > row:
-                        waiting.append((part.column("doc_id").slice(row, stop - row), found[first[row]:first[stop]], np.diff(first[row:stop + 1])))
-                        size += int(first[stop] - first[row])
-                    if stop < part.num_rows or size >= per_chunk:
-                        yield full()
-                        chunk, size = chunk + 1, 0
-                    row = stop
-        if waiting:
-            yield full()
+            learned = batch.column("training").to_numpy(zero_copy_only=False).astype(bool)
+            for training in (0, 1):
+                for part in slices(batch.filter(pa.array(learned == bool(training))), "text", batch_bytes):
+                    yield from filled(part, training)
+        for training in (0, 1):
+            if waiting[training]:
+                yield full(training)
         release()
 
-    return stored(documents.select("doc_id", "text").mapInArrow(
-        run, f"chunk long, doc_ids array<{kind}>, n_words int, size int, data binary"), "chunks")
+    return stored(documents.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training")).mapInArrow(
+        run, f"chunk long, training boolean, doc_ids array<{kind}>, n_words int, size int, data binary"), "chunks")
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk]]:
@@ -312,9 +332,16 @@ class Model:
 
 def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> Model:
     """The automaton, from rows of (text)."""
-    spark = training.sparkSession
+    chunks = encode(training.select(F.lit(None).cast("int").alias("doc_id"), "text"), per_chunk, batch_bytes)
+    model = learn(chunks, order, ngram_share)
+    removed(chunks)
+    return model
+
+
+def learn(chunks: DataFrame, order: int = 3, ngram_share: float = 0.0) -> Model:
+    """The automaton, from encoded texts."""
+    spark = chunks.sparkSession
     with freed(spark):
-        chunks = encode(training.select(F.lit(None).cast("int").alias("doc_id"), "text"), per_chunk, batch_bytes)
         counts = stored(word_counts(chunks), "words")
         total, distinct = (int(x) for x in counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first())
         model = Model(order, total, distinct, parts_for(spark, total, order), [])
@@ -337,7 +364,6 @@ def train(training: DataFrame, order: int = 3, ngram_share: float = 0.0, per_chu
             removed(arcs)
             removed(states)
         model.tables.append(_arcs(shorter.withColumn("backoff", F.lit(None).cast("float")), order))
-        removed(chunks)
     return model
 
 
@@ -348,11 +374,11 @@ def _arcs(ngrams: DataFrame, length: int) -> DataFrame:
     return ngrams.select("id", n.alias("n"), logp.alias("logp"), F.coalesce("backoff", zero).alias("backoff"))
 
 
-ROWS = "chunk long, length int, size int, data binary"
+ROWS = "chunk long, length int, size int, data binary, more binary"
 
 
-def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int) -> DataFrame:
-    """chunk, length, size, data: of the n-grams that chunks ask for, those that are arcs."""
+def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int, cut: int) -> DataFrame:
+    """chunk, length, size, hashes (data) and values (more): arcs whose hash begins as one that the chunk asks for."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
 
@@ -374,7 +400,7 @@ def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int) -> DataFr
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the arcs come first, requests stream past them
-        given, arcs = [], None
+        given, arcs, begins = [], None, None
         for batch in batches:
             out = []
             for chunk, size, data in zip(*(batch.column(c).to_pylist() for c in ("chunk", "size", "data")), strict=True):
@@ -384,14 +410,19 @@ def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int) -> DataFr
                 if arcs is None:
                     arcs = Arcs.of(given)
                     given.clear()
-                place = find(arcs.ids, opened(data, [size], ASKED)[0])
-                place = place[place >= 0]
+                    begins = arcs.ids >> np.uint64(cut)
+                wanted = opened(data, [size], ASKED)[0]
+                low = np.searchsorted(begins, wanted)
+                # mostly one arc or none begins so; whoever asked tells them apart by the whole hash
+                same = begins[np.minimum(low, len(begins) - 1)] == wanted if len(begins) else np.zeros(len(wanted), dtype=bool)
+                low, wanted = low[same], wanted[same]
+                place = ranges(low, np.searchsorted(begins, wanted, side="right") - low)
                 if len(place):
-                    out.append((chunk, length, len(place), squeezed([c[place] for c in (arcs.ids, arcs.n, arcs.logp, arcs.backoff)])))
+                    out.append((chunk, length, len(place), squeezed([arcs.ids[place]]), squeezed([c[place] for c in (arcs.n, arcs.logp, arcs.backoff)])))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
-                    ["chunk", "length", "size", "data"])
+                types = pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                                 ["chunk", "length", "size", "data", "more"])
         release()
 
     return stored(table.mapInArrow(pack, CELL).unionAll(asked).repartitionById(parts, F.col("part")).sortWithinPartitions("chunk").mapInArrow(
@@ -399,12 +430,13 @@ def _meet(asked: DataFrame, table: DataFrame, length: int, parts: int) -> DataFr
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk, pa.Array | None, list[list]]]:
-    """Each chunk with its doc_ids and, for each length, the packed columns found for it; a chunk's texts come before its arcs."""
+    """Each chunk with its doc_ids and, for each length, the columns found for it (hashes alone if there are no values); texts come before arcs."""
     now = None
     for batch in batches:
         names = batch.schema.names
         columns = [batch.column(c).to_pylist() for c in ("chunk", "length", "size", "data", "n_words", "rows")]
-        for i, (chunk, length, size, data, n_words, rows) in enumerate(zip(*columns, strict=True)):
+        values = batch.column("more").to_pylist() if "more" in names else [None] * batch.num_rows
+        for i, (chunk, length, size, data, n_words, rows, more) in enumerate(zip(*columns, values, strict=True)):
             if length == 0:
                 if now:
                     yield now
@@ -414,7 +446,8 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk, p
                 found = now[3]
                 while len(found) < length:
                     found.append([])
-                found[length - 1].append(opened(data, [size] * 4, ARCS))
+                of_hash = opened(more, [size] * 3, VALUES) if more is not None else [np.empty(0, t) for t in VALUES]
+                found[length - 1].append([*opened(data, [size], ASKED), *of_hash])
     if now:
         yield now
 
@@ -425,16 +458,25 @@ def _tables(found: list[list], lengths: int) -> list[Arcs]:
 
 def score(documents: DataFrame, model: Model, per_chunk: int = CHUNK, batch_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every row of (doc_id, text)."""
-    spark = documents.sparkSession
+    chunks = encode(documents, per_chunk, batch_bytes)
+    scores = read_through(chunks, model)
+    removed(chunks)
+    return scores
+
+
+def read_through(chunks: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score, score of every encoded text."""
+    spark = chunks.sparkSession
     parts, order, mass, unseen = model.parts, model.order, model.mass, model.unseen
-    kind = dict(documents.dtypes)["doc_id"]
+    cut = max(0, 64 - max(32, model.total.bit_length() + SPARE))
+    kind = dict(chunks.dtypes)["doc_ids"][len("array<"):-1]
 
     def request(length: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for number, chunk, _, found in _together(batches):
-                ids = chunk.words if length == 1 else np.unique(chunk.ngrams(length, _tables(found, length - 1))[0])
+                ids = chunk.words if length == 1 else chunk.ngrams(length, _tables(found, length - 1))[0]
                 if len(ids):
-                    yield cells(number, [ids], parts)
+                    yield cells(number, [np.unique(ids >> np.uint64(cut))], parts, cut)
             release()
         return run
 
@@ -457,15 +499,22 @@ def score(documents: DataFrame, model: Model, per_chunk: int = CHUNK, batch_byte
             texts = texts.unionByName(f, allowMissingColumns=True)
         return texts.repartition(parts, "chunk").sortWithinPartitions("chunk", "length") if found else texts
 
+    scores = []
     with freed(spark):
-        chunks = encode(documents, per_chunk, batch_bytes)
-        texts = _texts(chunks).withColumn("length", F.lit(0))
-        found = []
-        for length in range(1, order + 1):
-            asked = gathered(found, texts).mapInArrow(request(length), CELL)
-            found.append(_meet(asked, model.tables[length - 1], length, parts))
-    texts = chunks.withColumn("length", F.lit(0)).withColumn("rows", F.size("doc_ids"))
-    return gathered(found, texts).mapInArrow(walk, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+        for wave in range(WAVES):
+            own = chunks.filter(F.pmod("chunk", F.lit(WAVES)) == wave).withColumn("length", F.lit(0)).withColumn("rows", F.size("doc_ids"))
+            found = []
+            for length in range(1, order + 1):
+                asked = gathered([f.drop("more") for f in found], own.drop("doc_ids", "training")).mapInArrow(request(length), CELL)
+                found.append(_meet(asked, model.tables[length - 1], length, parts, cut))
+            scores.append(stored(gathered(found, own).mapInArrow(
+                walk, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"), "scores"))
+            for f in found:
+                removed(f)
+    out = scores[0]
+    for s in scores[1:]:
+        out = out.unionAll(s)
+    return out
 
 
 def traverse(chunk: Chunk, tables: list[Arcs], of_word: np.ndarray) -> np.ndarray:
@@ -484,8 +533,12 @@ def traverse(chunk: Chunk, tables: list[Arcs], of_word: np.ndarray) -> np.ndarra
     at = np.argsort(-length, kind="stable")
     owner, begin, start, length = owner[at], begin[at], start[at], length[at]
 
+    word = find(tables[0].ids, chunk.words)
+    of_state = np.where(word >= 0, tables[0].backoff[word], 0.0) if len(tables[0].ids) else np.zeros(len(word))
     context = [np.zeros(len(owner), np.uint64) for _ in range(order - 1)]
     depth, total = np.zeros(len(owner), np.int64), np.zeros(len(owner))
+    # place of the state among those of its depth where the arc that led there told it, and the last token
+    number, last = np.full(len(owner), -1), np.zeros(len(owner), np.int64)
     for step in range(int(length.max(initial=0))):
         n_on = int(np.searchsorted(-length, -step))  # lanes that go on: the longest come first
         token = chunk.places[start[:n_on] + step]
@@ -493,7 +546,7 @@ def traverse(chunk: Chunk, tables: list[Arcs], of_word: np.ndarray) -> np.ndarra
         for c in context:
             grams.append(longer(c[:n_on], grams[-1]))
         paid, reached = np.zeros(n_on), np.zeros(n_on, np.int64)
-        waiting, stand = np.arange(n_on), depth[:n_on].copy()
+        waiting, stand, led = np.arange(n_on), depth[:n_on].copy(), np.full(n_on, -1)
         for state in range(order - 1, 0, -1):  # from states of so many words along an arc, or along the failure arc
             here = waiting[stand[waiting] == state]
             if not len(here):
@@ -503,15 +556,22 @@ def traverse(chunk: Chunk, tables: list[Arcs], of_word: np.ndarray) -> np.ndarra
             paid[here[passed]] += tables[state].logp[place[passed]]
             reached[here[passed]] = state + 1
             failed = here[~passed]
-            paid[failed] += tables[state - 1].backoff[find(tables[state - 1].ids, context[state - 1][failed])]
+            if state == 1:
+                paid[failed] += of_state[last[failed]]
+            else:
+                own = np.where(depth[failed] == state, number[failed], -1)
+                lost = own < 0
+                own[lost] = find(tables[state - 1].ids, context[state - 1][failed[lost]])
+                paid[failed] += tables[state - 1].backoff[own]
+            led[here[passed]] = place[passed] if state < order - 1 else -1
             stand[failed] = state - 1
             stand[here[passed]] = -1
             waiting = waiting[stand[waiting] >= 0]
         paid[waiting] += of_word[token[waiting]]
-        reached[waiting] = find(tables[0].ids, grams[0][waiting]) >= 0
+        reached[waiting] = word[token[waiting]] >= 0
         counted = start[:n_on] + step >= begin[:n_on]
         total[:n_on] += np.where(counted, paid, 0)
-        depth[:n_on] = np.minimum(reached, order - 1)
+        depth[:n_on], number[:n_on], last[:n_on] = np.minimum(reached, order - 1), led, token
         for c, gram in zip(context, grams, strict=False):
             c[:n_on] = gram
     return np.bincount(owner, total, len(lanes))

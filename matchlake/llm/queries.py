@@ -67,8 +67,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     held = language_id.held_out("doc_id", 5, 1)
-    model = backoff_lm.train(documents.filter(~held))
-    scored = backoff_lm.score(documents, model)
+    chunks = backoff_lm.encode(documents.withColumn("training", ~held))
+    model = backoff_lm.learn(chunks.filter("training"))
+    scored = backoff_lm.read_through(chunks, model)
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
                          "base_score", "score")
 
