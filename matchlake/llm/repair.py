@@ -21,14 +21,11 @@ class Grammar:
 
     def lengths(self, symbols: np.ndarray) -> np.ndarray:
         """Number of ids behind each symbol."""
-        out = np.ones(len(symbols), np.int64)
-        rule = symbols >= self.base
-        out[rule] = self.expansions[symbols[rule].astype(np.int64) - self.base]
-        return out
+        return np.concatenate([np.ones(self.base, np.int64), self.expansions])[symbols]
 
-    def decode(self, symbols: np.ndarray) -> np.ndarray:
-        """All ids behind a sequence of symbols: nonterminals are opened level by level."""
-        symbols = symbols.astype(np.int64)
+    def opened(self) -> np.ndarray:
+        """The ids behind all rules, one after the other: nonterminals are opened level by level."""
+        symbols = self.base + np.arange(len(self.left), dtype=np.int64)
         while (rule := symbols >= self.base).any():
             size = np.where(rule, 2, 1)
             at = np.cumsum(size) - size
@@ -40,6 +37,16 @@ class Grammar:
             symbols = opened
         return symbols
 
+    def decode(self, symbols: np.ndarray) -> np.ndarray:
+        """All ids behind a sequence of symbols: a rule is opened once, and its ids are copied to wherever it stands."""
+        ids = np.concatenate([np.arange(self.base, dtype=np.int64), self.opened()])
+        heads = np.concatenate([ids[:self.base], self.base + np.cumsum(self.expansions) - self.expansions])
+        lengths = self.lengths(symbols)
+        ends = np.cumsum(lengths)
+        place = np.repeat(heads[symbols] - (ends - lengths), lengths)
+        place += np.arange(len(place), dtype=np.int64)
+        return ids[place]
+
     def at(self, symbols: np.ndarray, position: int) -> int:
         """The id at one position, without decoding the rest."""
         ends = np.cumsum(self.lengths(symbols))
@@ -81,13 +88,16 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, least: int = 8, round
             break
         best = np.sort(np.argsort(-counts, kind="stable")[:min(rules // 3, rules - len(expansions))])
         chosen = chosen[best]
-        # a small table by hash tells most pairs that have no rule from the rest
-        spread, shift = wide(0x9E3779B97F4A7C15 >> (64 - 2 * half)), wide(2 * half - 20)
-        table = np.zeros(1 << 20, dtype=bool)
-        table[(chosen * (spread | wide(1))) >> shift] = True
-        at = np.flatnonzero(table[(pairs * (spread | wide(1))) >> shift] & open_)
-        slot = np.minimum(np.searchsorted(chosen, pairs[at]), len(chosen) - 1)
-        hit = chosen[slot] == pairs[at]
+        # a small table by hash tells most pairs that have no rule from the rest, and of the rules that share a place it names one
+        spread, shift = wide(0x9E3779B97F4A7C15 >> (64 - 2 * half)) | wide(1), wide(2 * half - 20)
+        table = np.full(1 << 20, -1, np.int16 if len(chosen) < 1 << 15 else np.int32)
+        table[(chosen * spread) >> shift] = np.arange(len(chosen))
+        named = table[(pairs * spread) >> shift]
+        at = np.flatnonzero((named >= 0) & open_)
+        slot, found = named[at].astype(np.int64), pairs[at]
+        other = np.flatnonzero(chosen[slot] != found)
+        slot[other] = np.minimum(np.searchsorted(chosen, found[other]), len(chosen) - 1)
+        hit = chosen[slot] == found
         at, slot = at[hit], slot[hit]
         # in a run of overlapping occurrences every other one is replaced
         fresh = np.concatenate([[True], np.diff(at) != 1])
@@ -95,7 +105,8 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int, least: int = 8, round
         keep = (at - head) % 2 == 0
         at, slot = at[keep], slot[keep]
         # number the rules that are used at all
-        used, slot = np.unique(slot, return_inverse=True)
+        some = np.bincount(slot, minlength=len(chosen)) > 0
+        used, slot = np.flatnonzero(some), (np.cumsum(some) - 1)[slot]
         left = (chosen[used] >> wide(half)).astype(np.int64)
         right = (chosen[used] & wide((1 << half) - 1)).astype(np.int64)
         width = [np.where(side >= base, np.append(expansions, 0)[np.maximum(side - base, -1)], 1) for side in (left, right)]
