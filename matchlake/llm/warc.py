@@ -29,7 +29,9 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .packed import slices
+from ..operators.joins import sized_strategy
+from .packed import release, slices
+from .scratch import stored
 
 INDEX = "page_id long, url string, archive string, offset long, length long, digest string"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -41,15 +43,20 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub("^file:/+", "/", uri))
 
 
-def plan_records(pages: DataFrame, revisit_bytes: int) -> DataFrame:
-    """page_id, url, html, digest and refers_to (null for responses) of every row of (page_id, url, html)."""
+def plan_records(pages: DataFrame, revisit_bytes: int, broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """page_id, url, html, digest and refers_to (null for responses) of every row of (page_id, url, html).
+
+    The digests that occur more than once are stored and measured. Up to ``broadcast_bytes`` of them go to the pages, which then stay
+    where they are read; more are merged with the pages.
+    """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"),
                         F.sha1(F.encode(html, "UTF-8")).alias("digest"))
     long_ = F.octet_length("html") >= revisit_bytes
     # only digests and ids are shuffled here; a digest that occurs once has no part in the join below
     copied = rows.filter(long_).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1 and keeper is not null")
-    joined = rows.join(copied.drop("n"), "digest", "left")
+    copied = stored(copied.drop("n"), "warc-copied")
+    joined = rows.join(copied.hint(sized_strategy(copied, broadcast_bytes)), "digest", "left")
     return joined.select("page_id", "url", "html", "digest",
                          F.when(long_ & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")).alias("refers_to"))
 
@@ -111,6 +118,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_bytes: int = 1000, arc
                         ["page_id", "url", "archive", "offset", "length", "digest"])
         if out is not None:
             out.close()
+        release()
 
     plan_records(pages, revisit_bytes).mapInArrow(write, INDEX).write.parquet(f"{folder}/index")
     return read_index(spark, folder)
@@ -139,6 +147,7 @@ def read_records(selected: DataFrame, folder: str, range_bytes: int = 8 << 20, g
         system, path = open_folder(archives)
         for batch in batches:
             found: list[tuple] = []
+            held = 0
             for archive, members in _joined(batch, range_bytes, gap_bytes):
                 start, stop = members[0][0], members[-1][0] + members[-1][1]
                 with system.open_input_file(f"{path}/{archive}") as file:
@@ -146,11 +155,13 @@ def read_records(selected: DataFrame, folder: str, range_bytes: int = 8 << 20, g
                     data = file.read(stop - start)
                 for offset, length in members:
                     found.append(_result(*parse_record(gzip.decompress(data[offset - start:offset - start + length]))))
-                    if sum(len(r[-1]) for r in found[-64:]) > range_bytes or len(found) >= 1000:
+                    held += len(found[-1][-1])
+                    if held > range_bytes or len(found) >= 1000:
                         yield _batch(found)
-                        found = []
+                        found, held = [], 0
             if found:
                 yield _batch(found)
+        release()
 
     return sorted_.mapInArrow(read, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 

@@ -95,6 +95,21 @@ def test_more_than_one_task_reads(session):
     assert read.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_pages_stay_where_they_are_read(session):
+    """The digests of copies go to the pages, not the pages to the digests, unless there are too many of them."""
+    pages = session.range(60).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.concat(F.lit("p"), F.col("id") % 20), 1000).alias("html"))
+    name, before = "spark.sql.autoBroadcastJoinThreshold", session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.conf.set(name, "-1")
+    try:
+        few, many = warc.plan_records(pages, 1000), warc.plan_records(pages, 1000, broadcast_bytes=0)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (few, many)]
+        assert ["SortMergeJoin" in plan for plan in plans] == [False, True]
+        assert sorted(few.collect()) == sorted(many.collect())
+        assert few.filter("refers_to = page_id % 20 + 40").count() == 40
+    finally:
+        session.conf.set(name, before)
+
+
 def test_no_window_over_equal_digests(session):
     plan = exact_dedup.exact_groups(session.range(50).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")))._jdf.queryExecution().toString()
     assert "Window" not in plan
