@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime
 
 import pytest
@@ -215,3 +216,22 @@ def test_two_loads_through_all_layers(spark):
     assert rows(results.select("team_name", "wins", "draw", "losses", "matches_played").distinct()) == [
         ("A", 0, 1, 1, 2), ("H", 1, 1, 0, 2)]
     assert spark.table("slv.combined").count() == 6 + 1  # one competition without matches
+
+
+def test_the_histories_of_a_load_are_written_at_the_same_time(spark, monkeypatch):
+    """All four wait for one another, and they are committed children first."""
+    load, commit, barrier, order = bronze.load_versions, versions.commit, threading.Barrier(4), []
+    monkeypatch.setattr(bronze, "load_versions", lambda *a: (barrier.wait(60), load(*a))[1])
+    monkeypatch.setattr(versions, "commit", lambda sp, t, *a: (order.append(t), commit(sp, t, *a)))
+    run_bronze(spark, sources(spark, 0, day(2)), T1, "atonce", [43], min_season="2018")
+    assert order == [f"atonce.{t}" for t in ("events", "lineups", "matches", "competitions")]
+    assert {t: c[1] for t, c in counts(spark, "atonce").items()} == {"competitions": 2, "matches": 2, "events": 6, "lineups": 2}
+
+
+def test_a_written_load_counts_once_it_is_finished(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS lat")
+    batch = frame(spark, [(1, 1, "a", day(1)), (2, 1, "a", day(1))])
+    finish = versions.load_versions(spark, "lat.t", batch, DECLARED, ["k"], ["scope"], T1, at_once=False)
+    assert not versions.committed(spark, "lat.t").newest
+    finish()
+    assert spark.table("lat.t").count() == 2
