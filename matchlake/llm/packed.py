@@ -95,18 +95,29 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every (non-empty, ascending, disjoint) byte span: a random key per position."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block_bytes: int = 1 << 18) -> np.ndarray:
+    """64-bit hash of every (non-empty, ascending, disjoint) byte span: a random key per position.
+
+    Spans are hashed in blocks of about ``block_bytes``, as the work takes some 50 bytes for each byte of them.
+    """
+    hashes = np.empty(len(starts), np.uint64)
     if not len(starts):
-        return np.empty(0, np.uint64)
+        return hashes
     lengths = ends - starts
-    heads = np.cumsum(lengths) - lengths
-    total = int(heads[-1] + lengths[-1])
-    place = np.arange(total, dtype=np.int64)
-    within = place - np.repeat(heads, lengths)
-    values = data[within + np.repeat(starts, lengths)].astype(np.uint64) + ONE
-    values *= keys(int(lengths.max()), 0x51)[within]
-    return mix(np.add.reduceat(values, heads))
+    tails = np.cumsum(lengths)
+    salt = keys(int(lengths.max()), 0x51)
+    first = 0
+    while first < len(starts):
+        done = int(tails[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(tails, done + block_bytes, side="right")))
+        size = lengths[first:stop]
+        heads = np.cumsum(size) - size
+        within = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(heads, size)
+        values = data[within + np.repeat(starts[first:stop], size)].astype(np.uint64) + ONE
+        values *= salt[within]
+        hashes[first:stop] = mix(np.add.reduceat(values, heads))
+        first = stop
+    return hashes
 
 
 def words(texts: pa.Array, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

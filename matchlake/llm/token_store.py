@@ -38,16 +38,17 @@ SHARD = ("shard int, doc_ids array<long>, starts array<int>, n_ids long, base in
 
 
 def write_tokens(documents: DataFrame, out: str, path: str, end_id: int, base: int,
-                 shard_bytes: int = 6 << 20) -> None:
+                 shard_bytes: int = 6 << 20, slice_bytes: int = 1 << 20) -> None:
     """Encode (doc_id, text) with the vocabulary at ``path`` and write the shards to ``out``.
 
-    ``base`` is larger than every id of the vocabulary; a shard holds about ``shard_bytes`` of text.
+    ``base`` is larger than every id of the vocabulary; a shard holds about ``shard_bytes`` of text, of which
+    ``slice_bytes`` are encoded at once.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, waiting, size = 0, [], 0
         for batch in batches:
-            for part in slices(batch, "text", shard_bytes):
+            for part in slices(batch, "text", slice_bytes):
                 ids, lengths = token_ids(part.column("text"), path)
                 waiting.append((part.column("doc_id").to_pylist(), ids, lengths))
                 size += int(pack(part.column("text"))[1][-1])

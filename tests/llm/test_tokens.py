@@ -79,3 +79,34 @@ def test_store(which, request, session):
         assert r.start == start
         rest[r.doc_id].remove((r.n_tokens, r.ids_crc32))
         start += r.n_tokens
+
+
+def test_words_are_hashed_in_bounded_memory():
+    """Blocks take little memory beside the text and change no hash, whatever lies on their edges."""
+    import tracemalloc
+
+    from matchlake.llm.packed import span_hashes
+
+    data = np.frombuffer(b"some words and more " * 200_000, np.uint8)
+    starts = np.arange(0, len(data), 5)
+    ends = starts + 4
+    tracemalloc.start()
+    whole = span_hashes(data, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    odd = np.array([0, 3, 4, 900, 901]), np.array([3, 4, 900, 901, 5000])
+    assert all((span_hashes(data, *odd, block_bytes=n) == span_hashes(data, *odd)).all() for n in (1, 4, 897, 1 << 20))
+    assert len(set(whole.tolist())) == 4
+
+
+def test_a_shard_is_encoded_in_slices(session):
+    """A shard's text is handed to the encoder in parts of ``slice_bytes``; its documents come back whole."""
+    docs = session.createDataFrame([(i, f"w{i} " * 500) for i in range(40)], "doc_id long, text string").coalesce(1)
+    folder = scratch_path(session, "test-slices")
+    token_store.write_tokens(docs, folder, vocabulary_path("byte_bpe_50k.json"), 0, 50_300, slice_bytes=4000)
+    got = {r.doc_id: r for r in token_store.read_documents(session, folder).collect()}
+    want = reference("byte_bpe_50k.json")([f"w{i} " * 500 for i in range(40)])
+    for i, ids in enumerate(want):
+        assert got[i].ids_crc32 == zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
+    assert got[39].start == sum(len(ids) + 1 for ids in want[:39])
