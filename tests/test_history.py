@@ -235,3 +235,22 @@ def test_a_written_load_counts_once_it_is_finished(spark):
     assert not versions.committed(spark, "lat.t").newest
     finish()
     assert spark.table("lat.t").count() == 2
+
+
+def test_views_of_a_load_are_published_at_the_same_time(spark, monkeypatch):
+    """After all commits; all four wait for one another."""
+    publish, commit, barrier, order = versions.publish, versions.commit, threading.Barrier(4), []
+    monkeypatch.setattr(versions, "publish", lambda sp, t, *a: (barrier.wait(60), order.append("view"), publish(sp, t, *a)))
+    monkeypatch.setattr(versions, "commit", lambda sp, t, *a: (order.append("commit"), commit(sp, t, *a)))
+    run_bronze(spark, sources(spark, 0, day(2)), T1, "views", [43], min_season="2018")
+    assert order == ["commit"] * 4 + ["view"] * 4
+    assert spark.table("views.events").count() == 6
+
+
+def test_a_commit_that_fails_leaves_the_views_of_the_commits_before_it_up_to_date(spark, monkeypatch):
+    commit = versions.commit
+    monkeypatch.setattr(versions, "commit", lambda sp, t, *a: 1 / 0 if t.endswith("matches") else commit(sp, t, *a))
+    with pytest.raises(ZeroDivisionError):
+        run_bronze(spark, sources(spark, 0, day(2)), T1, "halfway", [43], min_season="2018")
+    assert (spark.table("halfway.events").count(), spark.table("halfway.lineups").count()) == (6, 2)
+    assert not spark.catalog.tableExists("halfway.matches")

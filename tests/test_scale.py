@@ -1,6 +1,7 @@
 """Plans and files of what grows with the input: what is broadcast, shuffled, sorted and written."""
 
 import glob
+import re
 from contextlib import redirect_stdout
 from datetime import datetime
 from io import StringIO
@@ -99,3 +100,19 @@ def test_a_batch_without_doubled_keys_is_told_by_its_keys(spark):
     assert not versions.sent_twice(batch("a", "b"), ["id"])
     assert versions.sent_twice(batch("a", "b", "a"), ["id"])
     assert versions.sent_twice(batch("a", None), ["id"])
+
+
+def test_wide_rows_are_not_copied_in_one_long_generated_loop(spark, tmp_path):
+    """Loading events takes loops that the JIT is slow to optimise: those beyond the limit run as small methods instead."""
+    events, matches = Bridge(spark, driver_tables(spark, tmp_path)).events, spark.range(3).toDF("match_id")
+    out = StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the code is made while the query runs
+    try:
+        with redirect_stdout(out):
+            bronze.pick_events(events, matches).explain("codegen")
+            events.sortWithinPartitions("type").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    loops = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    assert any(limit < n < 8000 for n in loops), loops
