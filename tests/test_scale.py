@@ -8,7 +8,10 @@ from io import StringIO
 
 import pyarrow.parquet as pq
 
+from checkbed import bridge
 from checkbed.bridge import Bridge
+from checkbed.queries_marts import combine
+from checkbed.registry import QUERIES
 from matchlake import schemas as s
 from matchlake.operators import joins
 from matchlake.plans import bronze, gold, silver
@@ -116,3 +119,13 @@ def test_wide_rows_are_not_copied_in_one_long_generated_loop(spark, tmp_path):
     loops = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
     limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
     assert any(limit < n < 8000 for n in loops), loops
+
+
+def test_few_columns_of_events_are_joined_without_storing_events(spark, tmp_path):
+    path = driver_tables(spark, tmp_path)
+    found = QUERIES["J2_to_events"](spark, path)
+    assert not [key for key in bridge._STORED if key[1:] == (path, "events")]
+    b = Bridge(spark, path)
+    whole = combine(b).select(*found.columns)
+    assert found.count() == 6 + 4 + 1  # lines, half ends, the competition without matches
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
